@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -37,6 +38,7 @@ from farelens.model import (
 from farelens.operators import enrich, kpis, rules
 from farelens.plans import sinks
 from farelens.sources import csv as csv_source
+from farelens.sources import tables
 from farelens.sources.staging import stage
 
 log = logging.getLogger(__name__)
@@ -57,6 +59,7 @@ class RunResult:
     report: dict
     fact_summary: dict = field(default_factory=dict)
     row_counts: dict = field(default_factory=dict)
+    timings: dict = field(default_factory=dict)
 
 
 def _run_id(now: datetime) -> str:
@@ -90,8 +93,8 @@ def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | N
 
 def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetime,
               report: dict) -> dict:
-    staging = sinks.read_current(spark, out_dir, STAGING_TABLE)
-    fact = enrich.fact_from_labelled(staging).withColumn(
+    valid = tables.read_staging(spark, sinks.current_path(spark, out_dir, STAGING_TABLE), valid_only=True)
+    fact = enrich.transform(valid).withColumn(
         "_loaded_at", F.lit(loaded_at).cast("timestamp_ntz")
     )
     observed = sinks.publish(
@@ -145,7 +148,10 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
         raw, name = source, source_file
 
     rules.validate_required_columns(raw)
+    timings = {}
+    t0 = time.perf_counter()
     report = load_staging(raw, out_dir, run_id, name, now)
+    timings["staging"] = time.perf_counter() - t0
     rules.check_not_empty(report)
     sinks.write_report_json(spark, {**report, "source_file": name}, f"{out_dir}/{REPORT_FILENAME}")
     log.info("quality report %s", json.dumps(report))
@@ -153,7 +159,13 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     if report["valid_rows"] == 0:
         raise ValueError("No rows to transform: every staged row was flagged invalid.")
 
+    t0 = time.perf_counter()
     fact_summary = load_fact(spark, out_dir, run_id, now, report)
+    timings["fact"] = time.perf_counter() - t0
+    t0 = time.perf_counter()
     load_kpis(spark, out_dir, run_id)
+    timings["kpis"] = time.perf_counter() - t0
+    t0 = time.perf_counter()
     counts = row_counts(spark, out_dir)
-    return RunResult(run_id, report, fact_summary, counts)
+    timings["summary"] = time.perf_counter() - t0
+    return RunResult(run_id, report, fact_summary, counts, timings)

@@ -105,8 +105,12 @@ def current_version(spark: SparkSession, root: str, table: str) -> str:
     return row["version"]
 
 
+def current_path(spark: SparkSession, root: str, table: str) -> str:
+    return version_path(root, table, current_version(spark, root, table))
+
+
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(version_path(root, table, current_version(spark, root, table)))
+    return spark.read.parquet(current_path(spark, root, table))
 
 
 def prune_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:

@@ -22,6 +22,9 @@ DEFAULTS = {
     # A side is broadcast only when its measured size is under this bound.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # The rule set compiles to large generated methods; above HotSpot's 8000-byte
+    # JIT limit they would run interpreted, so fall back to split codegen instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -13,6 +13,10 @@ def read_staging(spark: SparkSession, path: str, valid_only: bool = False) -> Da
     folders instead of scanning the invalid rows.
     """
     df = spark.read.parquet(path)
+    if "is_valid" in df.columns:
+        # Folder names hold the partition value as text; the filter on the
+        # cast value still prunes folders, as it reads partition values only.
+        df = df.withColumn("is_valid", F.col("is_valid").cast("boolean"))
     return df.where(F.col("is_valid")) if valid_only else df
 
 
