@@ -146,21 +146,52 @@ def validate_required_columns(df: DataFrame) -> None:
     require_schema_columns(df, REQUIRED_COLUMNS, "Staged data")
 
 
-def label(df: DataFrame) -> DataFrame:
+RULE_BITS = "_rule_bits"
+
+
+def _bit(i: int) -> Column:
+    return F.lit(1 << i).cast("long")
+
+
+def rule_bits(rs: list[Rule]) -> Column:
+    """Every fired rule as one bit of a long (rule i -> bit i), 0 for a clean row.
+
+    The predicates are evaluated once per row into this column; labels, the
+    validity flag and the per-rule counts are cheap bit tests on it.
+    """
+    bits = F.lit(0).cast("long")
+    for i, r in enumerate(rs):
+        bits = bits + F.when(fired(r), _bit(i)).otherwise(F.lit(0).cast("long"))
+    return bits
+
+
+def has_bit(i: int) -> Column:
+    return (F.col(RULE_BITS).bitwiseAND(_bit(i))) != 0
+
+
+def label(df: DataFrame, keep_bits: bool = False) -> DataFrame:
     """Adds ``is_valid``, ``validation_errors``, ``reconciles_exactly`` and
-    ``has_known_uplift`` to every row. Lazy: checks only the schema."""
+    ``has_known_uplift`` to every row. Lazy: checks only the schema.
+
+    ``keep_bits`` keeps the ``_rule_bits`` column for ``report_columns``.
+    """
     validate_required_columns(df)
     df = _typed(df)
     rs = rules(df)
-    errors = F.nullif(F.concat_ws(";", *[F.when(fired(r), F.lit(r.label)) for r in rs]), F.lit(""))
-    return (
-        df.withColumn("validation_errors", errors)
+    if len(rs) > 62:
+        raise ValueError("too many rules for one bit mask")
+    errors = F.nullif(F.concat_ws(";", *[F.when(has_bit(i), F.lit(r.label)) for i, r in enumerate(rs)]),
+                      F.lit(""))
+    out = (
+        df.withColumn(RULE_BITS, rule_bits(rs))
         .withColumns({
-            "is_valid": F.col("validation_errors").isNull(),
+            "validation_errors": errors,
+            "is_valid": F.col(RULE_BITS) == 0,
             "reconciles_exactly": reconciles_exactly(df),
             "has_known_uplift": has_known_uplift(df),
         })
     )
+    return out if keep_bits else out.drop(RULE_BITS)
 
 
 def rule_hits(df: DataFrame, family: str | None = None) -> DataFrame:
@@ -177,14 +208,22 @@ def rule_hits(df: DataFrame, family: str | None = None) -> DataFrame:
 
 
 def report_columns(df: DataFrame, with_total: bool = True) -> list[Column]:
-    """Aggregate expressions of the quality report (one pass over ``df``)."""
+    """Aggregate expressions of the quality report (one pass over ``df``).
+
+    Uses the ``_rule_bits`` column when ``df`` carries it (``label(keep_bits=
+    True)``), else evaluates the predicates.
+    """
     rs = rules(df)
+    if RULE_BITS in df.columns:
+        per_rule = [F.count_if(has_bit(i)).alias(r.label) for i, r in enumerate(rs)]
+    else:
+        per_rule = [F.count_if(fired(r)).alias(r.label) for r in rs]
     total = [F.count(F.lit(1)).alias("total_rows")] if with_total else []
     return [
         *total,
         F.count_if(F.col("is_valid")).alias("valid_rows"),
         F.count_if(F.col("has_known_uplift")).alias("rows_with_known_fare_uplift"),
-        *[F.count_if(fired(r)).alias(r.label) for r in rs],
+        *per_rule,
     ]
 
 

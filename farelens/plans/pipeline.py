@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -70,12 +71,13 @@ def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | N
                  ingested_at: datetime) -> dict:
     """Stage, label and write every row; returns the quality report."""
     staged = stage(raw, source_file=source_file, ingested_at=ingested_at)
-    labelled = rules.label(staged)
-    rs = rules.rules(labelled)
+    labelled = rules.label(staged, keep_bits=True)
+    rs = rules.rules(staged)
     observed = sinks.publish(
         labelled, out_dir, STAGING_TABLE, run_id,
         partition_by=("is_valid",),
         observe=rules.report_columns(labelled, with_total=False),
+        drop=(rules.RULE_BITS,),
     )
     total = observed["_rows"]
     valid = observed["valid_rows"]
@@ -113,15 +115,22 @@ def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetim
     }
 
 
-def load_kpis(spark: SparkSession, out_dir: str, run_id: str) -> dict[str, int]:
+def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4) -> dict[str, int]:
+    """Compute and publish the four KPI tables as independent concurrent jobs.
+
+    Each reads only its columns of the stored fact table. A KPI table has one
+    row per group (airlines, seasons, top routes), so it is written as one file.
+    """
     fact = sinks.read_current(spark, out_dir, FACT_TABLE)
-    counts = {}
-    for table, frame in kpis.compute_all(fact).items():
-        schema = KPI_SCHEMAS[table]
-        metrics = sinks.publish(frame.coalesce(1), out_dir, table, run_id, schema=schema,
-                                key=KPI_KEYS[table])
-        counts[table] = metrics["_rows"]
-    return counts
+
+    def one(item):
+        table, frame = item
+        metrics = sinks.publish(frame.coalesce(1), out_dir, table, run_id,
+                                schema=KPI_SCHEMAS[table], key=KPI_KEYS[table])
+        return table, metrics["_rows"]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(one, kpis.compute_all(fact).items()))
 
 
 def row_counts(spark: SparkSession, out_dir: str) -> dict[str, int]:

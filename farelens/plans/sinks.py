@@ -68,16 +68,18 @@ def check_constraints(df: DataFrame, not_null: tuple[str, ...] = (),
 
 
 def write_version(df: DataFrame, root: str, table: str, version: str,
-                  partition_by: tuple[str, ...] = (), observe: list | None = None) -> dict:
+                  partition_by: tuple[str, ...] = (), observe: list | None = None,
+                  drop: tuple[str, ...] = ()) -> dict:
     """Write ``df`` as a new version folder; returns observed metrics.
 
     ``observe`` holds aggregate expressions evaluated during the write itself
-    (no second scan). The row count is always observed and checked against a
-    read-back count of the written files.
+    (no second scan); ``drop`` lists helper columns the metrics read but the
+    table does not keep. The row count is always observed and checked against
+    a read-back count of the written files.
     """
     obs = Observation(f"{table}_{version}")
     metrics = [F.count(F.lit(1)).alias("_rows"), *(observe or [])]
-    writer = df.observe(obs, *metrics).write.mode("errorifexists")
+    writer = df.observe(obs, *metrics).drop(*drop).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     path = version_path(root, table, version)
@@ -137,11 +139,12 @@ def prune_versions(spark: SparkSession, root: str, table: str, keep: int = 2) ->
 def publish(df: DataFrame, root: str, table: str, version: str, *,
             schema: T.StructType | None = None, not_null: tuple[str, ...] = (),
             key: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
-            observe: list | None = None, keep_versions: int | None = 2) -> dict:
+            observe: list | None = None, drop: tuple[str, ...] = (),
+            keep_versions: int | None = 2) -> dict:
     """Write, check, then publish ``df`` as the current version of ``table``."""
     if schema is not None:
         df = conform_schema(df, schema)
-    metrics = write_version(df, root, table, version, partition_by, observe)
+    metrics = write_version(df, root, table, version, partition_by, observe, drop)
     if not_null or key:
         check_constraints(df.sparkSession.read.parquet(version_path(root, table, version)), not_null, key)
     record_version(df.sparkSession, root, table, version, metrics["_rows"])

@@ -7,10 +7,13 @@ keyed on ``l_orderkey % 1009`` and a 1.20x uplift on ``l_orderkey % 23 = 0``.
 not unique, so it is not a row id.
 
 Join order is chosen for size: orders (1/4 of lineitem) meets customer first,
-then the result meets lineitem once on the order key; supplier and part are
-dimension lookups. No side is hinted: AQE broadcasts a side only when its
-measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and
-splits skewed join partitions otherwise.
+then the result meets lineitem once on the order key. That join is declared a
+shuffle (sort-merge) join: at scale neither side fits a broadcast anyway, and
+on small inputs stored as one row group it is what spreads the rows over
+``spark.sql.shuffle.partitions`` tasks instead of streaming them through one;
+AQE's skew-join split applies to it. Supplier and part are dimension lookups:
+AQE broadcasts them only when their measured size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     order_side = orders.join(cust, orders.o_custkey == cust.c_custkey)
     j = (
-        li.join(order_side, li.l_orderkey == order_side.o_orderkey)
+        li.join(order_side.hint("merge"), li.l_orderkey == order_side.o_orderkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
         .join(part, li.l_partkey == part.p_partkey)
     )
