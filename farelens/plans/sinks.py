@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,8 +100,17 @@ def record_version(spark: SparkSession, root: str, table: str, version: str, row
     record.coalesce(1).write.mode("append").json(f"{table_path(root, table)}/{_VERSIONS}")
 
 
+def _version_log(spark: SparkSession, root: str, table: str) -> DataFrame:
+    try:
+        return spark.read.schema(_VERSION_SCHEMA).json(f"{table_path(root, table)}/{_VERSIONS}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            raise FileNotFoundError(f"No published version of {table} under {root}") from exc
+        raise
+
+
 def current_version(spark: SparkSession, root: str, table: str) -> str:
-    log = spark.read.schema(_VERSION_SCHEMA).json(f"{table_path(root, table)}/{_VERSIONS}")
+    log = _version_log(spark, root, table)
     row = log.orderBy(F.desc("published_at"), F.desc("version")).select("version").first()
     if row is None:
         raise FileNotFoundError(f"No published version of {table} under {root}")
@@ -121,7 +131,7 @@ def prune_versions(spark: SparkSession, root: str, table: str, keep: int = 2) ->
     Uses the Hadoop FileSystem of the session, so it works on any store the
     cluster can write to.
     """
-    log = spark.read.schema(_VERSION_SCHEMA).json(f"{table_path(root, table)}/{_VERSIONS}")
+    log = _version_log(spark, root, table)
     kept = {r["version"] for r in log.orderBy(F.desc("published_at"), F.desc("version")).limit(keep).collect()}
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
