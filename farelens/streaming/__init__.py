@@ -1,0 +1,3 @@
+"""Incremental ingest: the row rules over CSV files as they land in a folder."""
+
+from farelens.streaming.ingest import label_stream, start_staging_stream  # noqa: F401

@@ -1,0 +1,65 @@
+"""Labelled staging rows from a folder that receives fare CSV files.
+
+The batch run reads one file per run. When files keep arriving, the same
+capability is a Structured Streaming file source: each new file is read once,
+staged and labelled by the same rules (they are per-row, so no state is kept),
+and appended to a staging table partitioned by ``is_valid``. The source's file
+log and the sink's commit log live under the checkpoint folder, so a restarted
+or retried query neither skips nor repeats a file.
+
+The batch-only steps (the quality gate over a whole table, the fact and KPI
+rebuilds) stay in ``farelens.plans.pipeline``; they read the staging table the
+stream maintains.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from farelens.model import CSV_COLUMN_MAP
+from farelens.operators import rules
+from farelens.session import checkpoint_dir
+from farelens.sources.csv import map_columns
+from farelens.sources.staging import stage
+
+RAW_TEXT_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in CSV_COLUMN_MAP])
+
+
+def label_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming frame of labelled staging rows for every CSV landing in ``folder``."""
+    reader = (
+        spark.readStream.schema(RAW_TEXT_SCHEMA)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    text = reader.csv(folder).withColumn("_source_file", F.col("_metadata.file_name"))
+    raw = map_columns(text, keep=("_source_file",))
+    return rules.label(stage(raw, with_id=False))
+
+
+def start_staging_stream(spark: SparkSession, folder: str, table_path: str,
+                         checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Append labelled rows of new files to ``table_path`` (parquet, by ``is_valid``).
+
+    ``checkpoint`` defaults to a folder under ``spark.checkpoint.dir``.
+    ``available_now`` processes what is there and stops (scheduled runs);
+    otherwise the query keeps running and picks up files as they land.
+    """
+    location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/staging-stream"
+    writer = (
+        label_stream(spark, folder)
+        .writeStream.format("parquet")
+        .option("path", table_path)
+        .option("checkpointLocation", location)
+        .partitionBy("is_valid")
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

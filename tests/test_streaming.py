@@ -1,0 +1,26 @@
+"""Incremental ingest: files landing in a folder are labelled exactly once."""
+
+import os
+
+from farelens.sources import tables
+from farelens.streaming import start_staging_stream
+from tests.test_csv import good_values, write_csv
+
+
+def test_new_files_are_labelled_once(spark, tmp_out):
+    inbox = os.path.join(tmp_out, "inbox")
+    os.makedirs(inbox)
+    table = os.path.join(tmp_out, "staging")
+    ckpt = os.path.join(tmp_out, "ckpt")
+    write_csv(os.path.join(inbox, "a.csv"), [good_values(), good_values(Airline="")])
+    q = start_staging_stream(spark, inbox, table, checkpoint=ckpt)
+    q.awaitTermination(120)
+    write_csv(os.path.join(inbox, "b.csv"), [good_values(Source="DHAKA")])
+    q = start_staging_stream(spark, inbox, table, checkpoint=ckpt)
+    q.awaitTermination(120)
+    rows = tables.read_staging(spark, table).collect()
+    assert len(rows) == 3  # a.csv not read twice
+    by_file = sorted((r["_source_file"], r["is_valid"], r["validation_errors"]) for r in rows)
+    assert by_file == [("a.csv", False, "null_airline;blank_airline"), ("a.csv", True, None),
+                       ("b.csv", False, "malformed_source_code")]
+    assert tables.read_staging(spark, table, valid_only=True).count() == 1
