@@ -102,19 +102,25 @@ def null_counts(staging: DataFrame, columns: Sequence[str] = NOT_NULL_COLUMNS) -
     return agg.unpivot([], list(columns), "column_name", "null_rows")
 
 
-def source_codes(staging: DataFrame) -> DataFrame:
+def _text_key(c: str, case_insensitive: bool):
+    """A grouping key; optionally compared case- and accent-insensitively, as a
+    database with a case-insensitive collation would group it."""
+    return F.collate(F.col(c), "UNICODE_CI_AI") if case_insensitive else F.col(c)
+
+
+def source_codes(staging: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """Distinct source values as staged, with counts."""
     return (
-        staging.groupBy(F.col("source").alias("code"))
+        staging.groupBy(_text_key("source", case_insensitive).alias("code"))
         .agg(F.count(F.lit(1)).alias("rows_affected"))
         .orderBy(F.asc_nulls_first("code"))
     )
 
 
-def airline_validity(staging: DataFrame) -> DataFrame:
+def airline_validity(staging: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """Rows and invalid rows per airline, airlines with invalid rows only."""
     return (
-        staging.groupBy("airline")
+        staging.groupBy(_text_key("airline", case_insensitive).alias("airline"))
         .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(~F.col("is_valid")).alias("invalid_rows"))
         .where(F.col("invalid_rows") > 0)
         .orderBy(F.desc("invalid_rows"), F.asc_nulls_first("airline"))

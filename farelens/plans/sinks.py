@@ -151,18 +151,37 @@ def publish(df: DataFrame, root: str, table: str, version: str, *,
             key: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
             observe: list | None = None, drop: tuple[str, ...] = (),
             keep_versions: int | None = 2) -> dict:
-    """Write, check, then publish ``df`` as the current version of ``table``."""
+    """Write, check, then publish ``df`` as the current version of ``table``.
+
+    NOT NULL counts are observed during the write itself; only the key check
+    (meant for small tables such as the KPIs) reads the written data again.
+    """
     if schema is not None:
         df = conform_schema(df, schema)
-    metrics = write_version(df, root, table, version, partition_by, observe, drop)
-    if not_null or key:
-        check_constraints(df.sparkSession.read.parquet(version_path(root, table, version)), not_null, key)
+    null_metrics = [F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in not_null]
+    metrics = write_version(df, root, table, version, partition_by, [*(observe or []), *null_metrics], drop)
+    bad = {c: metrics[f"_nulls_{c}"] for c in not_null if metrics[f"_nulls_{c}"]}
+    if bad:
+        raise LoadCheckError(f"NULL values in NOT NULL column(s) of {table}: {bad}")
+    if key:
+        check_constraints(df.sparkSession.read.parquet(version_path(root, table, version)), key=key)
     record_version(df.sparkSession, root, table, version, metrics["_rows"])
     if keep_versions:
         prune_versions(df.sparkSession, root, table, keep_versions)
     return metrics
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+               batch_size: int = 1000) -> None:
+    """Replace a database table's rows, keeping its declared schema.
+
+    ``truncate`` empties the table instead of dropping it, so column types,
+    defaults and constraints stay; the database driver is the user's.
+    """
+    (df.write.mode("overwrite").option("truncate", True).option("batchsize", batch_size)
+       .jdbc(url, table, properties=properties or {}))
+
+
 def write_report_json(spark: SparkSession, report: dict, path: str) -> None:
     """The quality report as one JSON document (a one-row frame, one file)."""
     body = json.dumps(report, default=str)
