@@ -51,7 +51,12 @@ def parse_double(c: str | Column) -> Column:
     number, which would poison comparisons, means and maxima). Infinity stays.
     """
     col = as_column(c)
-    parsed = F.when(~col.rlike(_DOUBLE_SUFFIX), col.try_cast(T.DoubleType()))
+    word = F.lower(strip(col))
+    parsed = (
+        F.when(word.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+        .when(word.isin("-inf", "-infinity"), F.lit(float("-inf")))
+        .when(~col.rlike(_DOUBLE_SUFFIX), col.try_cast(T.DoubleType()))
+    )
     return F.when(~F.isnan(parsed), parsed)
 
 

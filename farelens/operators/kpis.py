@@ -128,6 +128,20 @@ def popular_routes(fact: DataFrame, top_n: int | None = None) -> DataFrame:
     )
 
 
+# Report order of each stored KPI table.
+KPI_ORDER = {
+    KPI_AVERAGE_FARE_TABLE: [F.desc("average_total_fare"), F.asc("airline")],
+    KPI_SEASONAL_VARIATION_TABLE: [F.desc("average_total_fare"), F.asc("seasonality")],
+    KPI_BOOKING_COUNT_TABLE: [F.desc("booking_count"), F.asc("airline")],
+    KPI_POPULAR_ROUTES_TABLE: [F.asc("rank_position")],
+}
+
+
+def ordered(kpi_table: DataFrame, table: str) -> DataFrame:
+    """A stored KPI table in its report order (the tables are a few rows each)."""
+    return kpi_table.orderBy(*KPI_ORDER[table])
+
+
 def compute_all(fact: DataFrame) -> dict[str, DataFrame]:
     """Every KPI keyed by its table name (lazy frames)."""
     return {

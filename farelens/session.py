@@ -25,6 +25,9 @@ DEFAULTS = {
     # The rule set compiles to large generated methods; above HotSpot's 8000-byte
     # JIT limit they would run interpreted, so fall back to split codegen instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Staging is partitioned by a boolean: two open writers per task replace
+    # the per-task sort that a partitioned write otherwise needs.
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
