@@ -130,16 +130,16 @@ def popular_routes(fact: DataFrame, top_n: int | None = None) -> DataFrame:
 
 # Report order of each stored KPI table.
 KPI_ORDER = {
-    KPI_AVERAGE_FARE_TABLE: [F.desc("average_total_fare"), F.asc("airline")],
-    KPI_SEASONAL_VARIATION_TABLE: [F.desc("average_total_fare"), F.asc("seasonality")],
-    KPI_BOOKING_COUNT_TABLE: [F.desc("booking_count"), F.asc("airline")],
-    KPI_POPULAR_ROUTES_TABLE: [F.asc("rank_position")],
+    KPI_AVERAGE_FARE_TABLE: (("average_total_fare", "desc"), ("airline", "asc")),
+    KPI_SEASONAL_VARIATION_TABLE: (("average_total_fare", "desc"), ("seasonality", "asc")),
+    KPI_BOOKING_COUNT_TABLE: (("booking_count", "desc"), ("airline", "asc")),
+    KPI_POPULAR_ROUTES_TABLE: (("rank_position", "asc"),),
 }
 
 
 def ordered(kpi_table: DataFrame, table: str) -> DataFrame:
     """A stored KPI table in its report order (the tables are a few rows each)."""
-    return kpi_table.orderBy(*KPI_ORDER[table])
+    return kpi_table.orderBy(*[F.desc(c) if d == "desc" else F.asc(c) for c, d in KPI_ORDER[table]])
 
 
 def compute_all(fact: DataFrame) -> dict[str, DataFrame]:

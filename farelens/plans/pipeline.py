@@ -119,13 +119,15 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4)
     """Compute and publish the four KPI tables as independent concurrent jobs.
 
     Each reads only its columns of the stored fact table. A KPI table has one
-    row per group (airlines, seasons, top routes), so it is written as one file.
+    row per group (airlines, seasons, top routes), so it is written as one file:
+    ``repartition(1)`` after the final aggregate moves only those rows, where
+    ``coalesce(1)`` would pull the final aggregation itself into one task.
     """
     fact = sinks.read_current(spark, out_dir, FACT_TABLE)
 
     def one(item):
         table, frame = item
-        metrics = sinks.publish(frame.coalesce(1), out_dir, table, run_id,
+        metrics = sinks.publish(frame.repartition(1), out_dir, table, run_id,
                                 schema=KPI_SCHEMAS[table], key=KPI_KEYS[table])
         return table, metrics["_rows"]
 

@@ -104,3 +104,11 @@ def test_a_hot_airline_is_pre_aggregated(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan or "partial_count" in plan
     assert by(out, "airline")["Hot"]["flight_count"] == 30
+
+
+def test_stored_kpi_tables_read_back_in_report_order(spark):
+    df = fact_frame(spark, [{"airline": "B"}, {"airline": "A"}, {"airline": "A"}])
+    from farelens.model import KPI_BOOKING_COUNT_TABLE
+
+    out = kpis.ordered(kpis.booking_count_by_airline(df), KPI_BOOKING_COUNT_TABLE).collect()
+    assert [r["airline"] for r in out] == ["A", "B"]
