@@ -48,10 +48,9 @@ def average_fare_by_airline(fact: DataFrame) -> DataFrame:
 def seasonal_fare_variation(fact: DataFrame) -> DataFrame:
     """KPI 2: mean total per season and its % difference from the baseline.
 
-    The percentage uses the unrounded means. The baseline is one value taken by
-    a global aggregate over the per-season rows (at most one row, so the cross
-    join is a broadcast of a single row); with no baseline rows, or a zero
-    baseline, the percentage is NULL.
+    The percentage uses the unrounded means. The baseline is a scalar subquery
+    over the per-season rows (run once, its shuffle reused, no join); with no
+    baseline rows, or a zero baseline, the percentage is NULL.
     """
     require_columns(fact, ("seasonality", "is_peak_season", "total_fare_bdt"),
                     "seasonal_fare_variation")
@@ -65,12 +64,11 @@ def seasonal_fare_variation(fact: DataFrame) -> DataFrame:
         )
     )
     baseline = per_season.agg(
-        F.max(F.when(F.col("seasonality") == BASELINE_SEASON, F.col("mean_total"))).alias("baseline")
-    )
-    pct = F.try_divide(F.col("mean_total") - F.col("baseline"), F.col("baseline")) * 100
+        F.max(F.when(F.col("seasonality") == BASELINE_SEASON, F.col("mean_total")))
+    ).scalar()
+    pct = F.try_divide(F.col("mean_total") - baseline, baseline) * 100
     return (
-        per_season.crossJoin(F.broadcast(baseline))
-        .select(
+        per_season.select(
             "seasonality",
             F.coalesce(F.col("is_peak_season"), F.lit(False)).alias("is_peak_season"),
             round_half_even("mean_total", 4).alias("average_total_fare"),
@@ -84,8 +82,8 @@ def seasonal_fare_variation(fact: DataFrame) -> DataFrame:
 def booking_count_by_airline(fact: DataFrame) -> DataFrame:
     """KPI 3: rows per airline and their share of rows with an airline.
 
-    The total is a one-row global aggregate over the per-airline counts, joined
-    back as a broadcast of that single row (no unpartitioned window).
+    The total is a scalar subquery over the per-airline counts (run once, its
+    shuffle reused): no join and no unpartitioned window.
     """
     require_columns(fact, ("airline",), "booking_count_by_airline")
     counts = (
@@ -93,11 +91,10 @@ def booking_count_by_airline(fact: DataFrame) -> DataFrame:
         .groupBy("airline")
         .agg(F.count(F.lit(1)).alias("booking_count"))
     )
-    total = counts.agg(F.sum("booking_count").alias("total"))
-    share = F.try_divide(F.col("booking_count").cast("double"), F.nullif(F.col("total"), F.lit(0))) * 100
+    total = counts.agg(F.sum("booking_count")).scalar()
+    share = F.try_divide(F.col("booking_count").cast("double"), F.nullif(total, F.lit(0))) * 100
     return (
-        counts.crossJoin(F.broadcast(total))
-        .select("airline", "booking_count", round_half_even(share, 2).alias("booking_share_pct"))
+        counts.select("airline", "booking_count", round_half_even(share, 2).alias("booking_share_pct"))
         .orderBy(F.desc("booking_count"), "airline")
     )
 

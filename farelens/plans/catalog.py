@@ -95,8 +95,10 @@ def fact_summary(fr: Frames) -> DataFrame:
         F.countDistinct("airline").alias("distinct_airlines"),
         F.countDistinct("route").alias("distinct_routes"),
     )
-    return fact.crossJoin(staged).select(
-        "fact_rows_loaded", "staged_rows", "excluded_invalid_rows",
+    return fact.select(
+        "fact_rows_loaded",
+        staged.select("staged_rows").scalar().alias("staged_rows"),
+        staged.select("excluded_invalid_rows").scalar().alias("excluded_invalid_rows"),
         "rows_with_fare_uplift", "distinct_airlines", "distinct_routes",
     )
 
