@@ -97,12 +97,12 @@ def rules(df: DataFrame) -> list[Rule]:
     for c in NOT_NULL_COLUMNS:
         # A value that arrived as unparseable text is present, not missing.
         raw = raw_column_name(c)
-        present = F.col(raw) if raw in cols else F.col(c)
-        out.append(Rule(f"null_{c}", "null", present.isNull()))
+        missing = F.col(c).isNull() & F.col(raw).isNull() if raw in cols else F.col(c).isNull()
+        out.append(Rule(f"null_{c}", "null", missing))
     for c in NUMERIC_COLUMNS:
         raw = raw_column_name(c)
         if c in cols and raw in cols:
-            out.append(Rule(f"non_numeric_{c}", "non_numeric", F.col(raw).isNotNull() & F.col(c).isNull()))
+            out.append(Rule(f"non_numeric_{c}", "non_numeric", F.col(raw).isNotNull()))
     for c in FARE_COLUMNS:
         out.append(Rule(f"negative_{c}", "negative", F.col(c) < 0))
     for c in NON_EMPTY_STRING_COLUMNS:

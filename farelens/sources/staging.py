@@ -1,9 +1,11 @@
 """Turns raw rows (CSV text or typed columns) into the typed staging frame.
 
 Staging keeps a faithful record of what arrived: columns are typed, nothing is
-cleaned or dropped. Where a numeric column arrives as text its original string
-is kept beside the typed value as ``_raw_<column>``, so the non-numeric rule can
-tell "missing" from "present but not a number".
+cleaned or dropped. Where a numeric column arrives as text and the text does not
+parse, the original string is kept beside the (NULL) typed value as
+``_raw_<column>``, so the non-numeric rule can tell "missing" from "present but
+not a number". The raw column is NULL on every row that parsed, so it costs
+almost nothing to store.
 """
 
 from __future__ import annotations
@@ -51,8 +53,9 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
 def conform(df: DataFrame) -> DataFrame:
     """Cast every known staging column present to its staging type.
 
-    Numeric columns that arrive as text keep their string in ``_raw_<c>``.
-    Unknown columns pass through unchanged; absent optional columns stay absent.
+    Numeric columns that arrive as text keep an unparseable string in
+    ``_raw_<c>`` (NULL where the value parsed or was missing). Unknown columns
+    pass through unchanged; absent optional columns stay absent.
     """
     out = []
     for name in df.columns:
@@ -60,9 +63,10 @@ def conform(df: DataFrame) -> DataFrame:
         if target is None:
             out.append(F.col(name))
             continue
+        typed = _typed(df, name, target)
         if name in NUMERIC_COLUMNS and isinstance(df.schema[name].dataType, T.StringType):
-            out.append(F.col(name).alias(raw_column_name(name)))
-        out.append(_typed(df, name, target).alias(name))
+            out.append(F.when(typed.isNull(), F.col(name)).alias(raw_column_name(name)))
+        out.append(typed.alias(name))
     return df.select(*out)
 
 

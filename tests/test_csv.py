@@ -91,6 +91,6 @@ def test_staging_types_and_provenance(spark, tmp_out):
     path = write_csv(os.path.join(tmp_out, "t.csv"), [good_values(), good_values(**{"Base Fare (BDT)": "abc"})])
     st = stage(csv_source.read_raw_csv(spark, path)).orderBy("id").collect()
     assert st[0]["base_fare_bdt"] is not None and st[1]["base_fare_bdt"] is None
-    assert st[1]["_raw_base_fare_bdt"] == "abc"
+    assert st[1]["_raw_base_fare_bdt"] == "abc" and st[0]["_raw_base_fare_bdt"] is None
     assert st[0]["_ingested_at"] == st[1]["_ingested_at"]
     assert len({r["id"] for r in st}) == 2
