@@ -50,13 +50,13 @@ class Rule:
     predicate: Column
 
 
-def fare_components(df: DataFrame) -> Column:
+def fare_components() -> Column:
     return F.col("base_fare_bdt") + F.col("tax_surcharge_bdt")
 
 
 def reconciles_exactly(df: DataFrame) -> Column:
     """|total - (base + tax)| <= 0.01, in exact decimal arithmetic."""
-    diff = F.abs(F.col("total_fare_bdt") - fare_components(df))
+    diff = F.abs(F.col("total_fare_bdt") - fare_components())
     return F.coalesce(diff <= F.lit(FARE_RECONCILIATION_TOLERANCE).cast("decimal(3,2)"), F.lit(False))
 
 
@@ -65,7 +65,7 @@ def has_known_uplift(df: DataFrame) -> Column:
 
     The ratio is taken in double precision; a zero denominator never matches.
     """
-    comp = to_double(fare_components(df))
+    comp = to_double(fare_components())
     ratio = F.try_divide(to_double(F.col("total_fare_bdt")), F.nullif(comp, F.lit(0.0)))
     return F.coalesce(
         F.abs(ratio - F.lit(KNOWN_FARE_UPLIFT_FACTOR)) <= F.lit(UPLIFT_TOLERANCE), F.lit(False)
