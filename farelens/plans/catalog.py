@@ -9,6 +9,7 @@ can be compared with an independent SQL engine.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -55,6 +56,17 @@ def tpch_frames(spark: SparkSession, sf_dir: str) -> Frames:
     return Frames(staged, labelled, valid, enriched, enrich.select_fact_columns(enriched))
 
 
+@functools.lru_cache(maxsize=4)
+def shared_frames(spark: SparkSession, sf_dir: str) -> Frames:
+    """``tpch_frames`` built once per session and folder.
+
+    The frames are lazy plans (no data is held), so every registered query can
+    start from the same objects instead of rebuilding the mapping and rule
+    expressions on the driver each time.
+    """
+    return tpch_frames(spark, sf_dir)
+
+
 def fares_as_double(df: DataFrame) -> DataFrame:
     return df.withColumns({
         f.name: F.col(f.name).cast(T.DoubleType())
