@@ -95,7 +95,9 @@ def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | N
 
 def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetime,
               report: dict) -> dict:
-    valid = tables.read_staging(spark, sinks.current_path(spark, out_dir, STAGING_TABLE), valid_only=True)
+    # This run's own versions are read by path; readers outside the run follow
+    # the version log.
+    valid = tables.read_staging(spark, sinks.version_path(out_dir, STAGING_TABLE, run_id), valid_only=True)
     fact = enrich.transform(valid).withColumn(
         "_loaded_at", F.lit(loaded_at).cast("timestamp_ntz")
     )
@@ -103,7 +105,7 @@ def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetim
         fact, out_dir, FACT_TABLE, run_id, schema=FACT_SCHEMA, not_null=FACT_NOT_NULL,
         observe=[F.count_if(F.col("has_fare_uplift")).alias("uplift_rows")],
     )
-    written = sinks.read_current(spark, out_dir, FACT_TABLE)
+    written = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
     distinct = written.agg(F.countDistinct("airline").alias("a"), F.countDistinct("route").alias("r")).first()
     return {
         "fact_rows_loaded": observed["_rows"],
@@ -123,7 +125,7 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4)
     ``repartition(1)`` after the final aggregate moves only those rows, where
     ``coalesce(1)`` would pull the final aggregation itself into one task.
     """
-    fact = sinks.read_current(spark, out_dir, FACT_TABLE)
+    fact = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
 
     def one(item):
         table, frame = item
@@ -135,10 +137,15 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4)
         return dict(pool.map(one, kpis.compute_all(fact).items()))
 
 
-def row_counts(spark: SparkSession, out_dir: str) -> dict[str, int]:
-    """Recount every analytics table from storage; fail if any is empty."""
-    counts = {t: sinks.read_current(spark, out_dir, t).count()
-              for t in (*KPI_SCHEMAS, FACT_TABLE)}
+def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, int]:
+    """Recount every analytics table from storage; fail if any is empty.
+
+    ``version`` recounts that run's folders; by default the current versions.
+    """
+    def path(t: str) -> str:
+        return sinks.version_path(out_dir, t, version) if version else sinks.current_path(spark, out_dir, t)
+
+    counts = {t: spark.read.parquet(path(t)).count() for t in (*KPI_SCHEMAS, FACT_TABLE)}
     empty = [t for t, n in counts.items() if n == 0]
     if empty:
         raise ValueError(f"Pipeline finished but these analytics tables are empty: {empty}")
@@ -177,6 +184,6 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     load_kpis(spark, out_dir, run_id)
     timings["kpis"] = time.perf_counter() - t0
     t0 = time.perf_counter()
-    counts = row_counts(spark, out_dir)
+    counts = row_counts(spark, out_dir, run_id)
     timings["summary"] = time.perf_counter() - t0
     return RunResult(run_id, report, fact_summary, counts, timings)

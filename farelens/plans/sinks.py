@@ -129,20 +129,24 @@ def prune_versions(spark: SparkSession, root: str, table: str, keep: int = 2) ->
     """Delete version folders other than the ``keep`` newest recorded ones.
 
     Uses the Hadoop FileSystem of the session, so it works on any store the
-    cluster can write to.
+    cluster can write to. The version log is read only when the listing shows
+    more than ``keep`` folders.
     """
-    log = _version_log(spark, root, table)
-    kept = {r["version"] for r in log.orderBy(F.desc("published_at"), F.desc("version")).limit(keep).collect()}
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(table_path(root, table))
     fs = base.getFileSystem(conf)
+    folders = {st.getPath().getName()[2:]: st.getPath() for st in fs.listStatus(base)
+               if st.isDirectory() and st.getPath().getName().startswith("v=")}
+    if len(folders) <= keep:
+        return []
+    log = _version_log(spark, root, table)
+    kept = {r["version"] for r in log.orderBy(F.desc("published_at"), F.desc("version")).limit(keep).collect()}
     removed = []
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("v=") and name[2:] not in kept:
-            fs.delete(status.getPath(), True)
-            removed.append(name[2:])
+    for version, path in folders.items():
+        if version not in kept:
+            fs.delete(path, True)
+            removed.append(version)
     return removed
 
 
