@@ -83,3 +83,14 @@ def test_constraint_check_refuses_duplicate_keys(spark, tmp_out):
         sinks.publish(df, tmp_out, "t", "v1", key=("airline",))
     with pytest.raises(FileNotFoundError):
         sinks.current_version(spark, tmp_out, "t")
+
+
+def test_prune_keeps_newest_recorded_versions(spark, tmp_out):
+    df = spark.createDataFrame([(1,)], "x int")
+    for v in ("v1", "v2", "v3"):
+        sinks.publish(df, tmp_out, "t", v, keep_versions=None)
+    os.makedirs(f"{tmp_out}/t/v=failed")  # a write that never got recorded
+    removed = sinks.prune_versions(spark, tmp_out, "t", keep=2)
+    assert sorted(removed) == ["failed", "v1"]
+    assert sorted(d for d in os.listdir(f"{tmp_out}/t") if d.startswith("v=")) == ["v=v2", "v=v3"]
+    assert sinks.current_version(spark, tmp_out, "t") == "v3"

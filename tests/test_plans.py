@@ -65,3 +65,24 @@ def test_filters_reach_the_fact_scan(spark, stored):
     fact = sinks.read_current(spark, stored, FACT_TABLE)
     text = plan(analytics.lead_time(fact))
     assert "PushedFilters: [IsNotNull(days_before_departure)]" in text
+
+
+def test_labelling_and_fact_are_narrow_stages(spark, stored, tmp_path):
+    """No shuffle between the CSV scan and the labelled rows, nor between the
+    stored staging rows and the fact rows."""
+    from farelens.operators import enrich, rules
+    from farelens.sources import csv as csv_source
+    from farelens.sources.staging import stage
+
+    src = fares_csv(str(tmp_path / "f.csv"))
+    labelled = rules.label(stage(csv_source.read_raw_csv(spark, src)))
+    assert "Exchange" not in plan(labelled)
+    valid = tables.read_staging(spark, sinks.current_path(spark, stored, STAGING_TABLE), valid_only=True)
+    assert "Exchange" not in plan(enrich.transform(valid))
+
+
+def test_global_totals_are_scalar_subqueries_not_joins(spark, stored):
+    fact = sinks.read_current(spark, stored, FACT_TABLE)
+    for df in (kpis.booking_count_by_airline(fact), kpis.seasonal_fare_variation(fact)):
+        text = plan(df)
+        assert "Join" not in text and "Subquery" in text
