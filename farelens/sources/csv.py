@@ -65,7 +65,14 @@ def map_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Raw rows in staging names, with ``_source_file`` set to each row's file name."""
+    """Raw rows in staging names, with ``_source_file`` set to each row's file name.
+
+    Plain CSV is split by byte ranges, so a large file is read by many tasks.
+    With ``multiline`` every file is read whole by one task; the rows are then
+    rebalanced (a round-robin shuffle that AQE sizes), so one big file does not
+    leave the labelling of a third of the data to a single task.
+    """
     text = read_csv_text(spark, path, multiline)
     with_file = text.withColumn("_source_file", F.col("_metadata.file_name"))
-    return map_columns(with_file, keep=("_source_file",))
+    raw = map_columns(with_file, keep=("_source_file",))
+    return raw.hint("rebalance") if multiline else raw

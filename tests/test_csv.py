@@ -94,3 +94,12 @@ def test_staging_types_and_provenance(spark, tmp_out):
     assert st[1]["_raw_base_fare_bdt"] == "abc" and st[0]["_raw_base_fare_bdt"] is None
     assert st[0]["_ingested_at"] == st[1]["_ingested_at"]
     assert len({r["id"] for r in st}) == 2
+
+
+def test_whole_file_reads_are_rebalanced(spark, tmp_out):
+    path = write_csv(os.path.join(tmp_out, "m.csv"), [good_values()] * 20)
+    split = csv_source.read_raw_csv(spark, path)
+    whole = csv_source.read_raw_csv(spark, path, multiline=True)
+    assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+    assert "RebalancePartitions" in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count() == 20
