@@ -61,6 +61,8 @@ class RunResult:
     fact_summary: dict = field(default_factory=dict)
     row_counts: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)
+    load_summary: dict = field(default_factory=dict)
+    completed_at: str | None = None
 
 
 def _run_id(now: datetime) -> str:
@@ -186,4 +188,7 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     t0 = time.perf_counter()
     counts = row_counts(spark, out_dir, run_id)
     timings["summary"] = time.perf_counter() - t0
-    return RunResult(run_id, report, fact_summary, counts, timings)
+    load_summary = {"source_file": name, "rows_loaded": report["total_rows"],
+                    "ingested_at": now.isoformat()}
+    done = datetime.now(timezone.utc).isoformat()
+    return RunResult(run_id, report, fact_summary, counts, timings, load_summary, done)

@@ -44,6 +44,8 @@ def test_full_run(spark, tmp_out):
     assert sum(r["booking_count"] for r in booking.collect()) == 40
     staging = sinks.read_current(spark, out, STAGING_TABLE)
     assert staging.count() == 41
+    assert res.load_summary["source_file"] == "fares.csv" and res.load_summary["rows_loaded"] == 41
+    assert res.completed_at is not None
 
 
 def test_gate_failure_keeps_report_and_previous_tables(spark, tmp_out):
