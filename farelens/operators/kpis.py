@@ -63,9 +63,13 @@ def seasonal_fare_variation(fact: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("flight_count"),
         )
     )
+    # The subquery takes the whole baseline row (a struct of every per-season
+    # column), so column pruning leaves its aggregate identical to the main one
+    # and Spark reuses that shuffle instead of aggregating the input again.
+    baseline_row = F.struct(*[F.col(c) for c in per_season.columns])
     baseline = per_season.agg(
-        F.max(F.when(F.col("seasonality") == BASELINE_SEASON, F.col("mean_total")))
-    ).scalar()
+        F.max(F.when(F.col("seasonality") == BASELINE_SEASON, baseline_row))
+    ).scalar().getField("mean_total")
     pct = F.try_divide(F.col("mean_total") - baseline, baseline) * 100
     return (
         per_season.select(
