@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from .bpe import op5_bpe_encode
 from .exact_dedup import OP10_SQL, op10_exact_dedup
+from .license_join import op6_license_scan
+from .pii import op1_pii
+from .rule_ensemble import op9_quality
+from .substring_dedup import op8_substring_dedup
+from .suffix_match import op4_decontamination
+from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_bpe_encode": op5_bpe_encode,
+    "op6_license_scan": op6_license_scan,
+    "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {
