@@ -24,15 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a session that names none, and runs in a single process, gets a
     temporary folder (tests).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="corpus-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-checkpoint-"))
+        path = sc.getCheckpointDir()
+    return path.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -111,7 +111,7 @@ def judged(m: Column, kind: Column | str, base: Column) -> Column:
 def base_spans(text: Column) -> dict[str, Column]:
     """Matches of each base pattern with the base check, as candidates."""
     has = lambda c, pattern: F.when(F.instr(text, c) > 0, located(text, pattern)).otherwise(located(F.lit(""), pattern))
-    small = lambda part: (F.length(F.ltrim(F.lit("0"), part)) <= 3) & (F.coalesce(F.try_to_number(F.right(F.concat(F.lit("000"), part), F.lit(3)), F.lit("999")), F.lit(0)) <= 255)
+    small = lambda part: (F.length(F.ltrim(part, F.lit("0"))) <= 3) & (F.right(F.concat(F.lit("000"), part), F.lit(3)).cast("int") <= 255)
     number = lambda m: digits(m["value"])
     return {
         "email": F.transform(has("@", EMAIL), lambda m: judged(m, "email", F.lit(True))),
