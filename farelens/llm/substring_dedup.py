@@ -40,7 +40,7 @@ DEPTH = 64
 HOT_COUNT, HOT_SHARE = 2000, 100_000
 MAP_BITS = 28
 #: Bytes of text hashed at once, and words indexed at once, in a task.
-BLOCK_BYTES, BLOCK_WORDS = 8 << 20, 400_000
+BLOCK_BYTES, BLOCK_WORDS = 2 << 20, 200_000
 HOT = np.uint64(1 << 63)
 
 
