@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .bpe import op5_bpe_encode
 from .exact_dedup import OP10_SQL, op10_exact_dedup
+from .jaccard_join import op3_jaccard_join
 from .license_join import op6_license_scan
+from .lm_scoring import op2_lm_scoring
 from .pii import op1_pii
 from .rule_ensemble import op9_quality
 from .substring_dedup import op8_substring_dedup
@@ -13,6 +15,8 @@ from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_bpe_encode": op5_bpe_encode,
     "op6_license_scan": op6_license_scan,

@@ -32,6 +32,7 @@ HIDDEN, WORD_DIMS, CHAR_DIMS, VOCABULARY = 8, 12, 12, 20_000
 GRAMS, BUCKETS = (3, 4, 5, 6), 1 << 14
 TRAIN_ROWS, TRAIN_CHARS, FIRST_WINDOWS = 1000, 8_000, 8_000
 EPOCHS, BATCH, RATE = 3, 256, 0.01
+STEPS = 60
 TOP, JUDGE, CLEAN_WEIGHT = 6, 0.25, 3.0
 CACHED_WORDS = 200_000
 CHUNK = 4096
@@ -262,7 +263,8 @@ def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
         negative = np.concatenate([rng.choice(clean, min(len(clean), max(BATCH, len(positive))), replace=False), hard])
         rows = np.concatenate([positive, negative])
         target = np.concatenate([np.ones(len(positive)), np.zeros(len(negative))]).astype("float32")
-        order = rng.permutation(len(rows))
+        passes = max(1, math.ceil(STEPS * BATCH / len(rows)))  # a small sample is read more than once
+        order = np.concatenate([rng.permutation(len(rows)) for _ in range(passes)])
         for i in range(0, len(order), BATCH):
             k = order[i : i + BATCH]
             learn(win[rows[k]], target[k], RATE / (1 + epoch))
