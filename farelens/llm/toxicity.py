@@ -144,6 +144,16 @@ def gradients(x: np.ndarray, mask: np.ndarray, y: np.ndarray, p: dict) -> tuple[
     return g, dx
 
 
+def summed(size: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Rows added up by their index, as (size, dims)."""
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    out = np.zeros((size, rows.shape[1]), "float32")
+    out[index[first]] = np.add.reduceat(rows[order], first)
+    return out
+
+
 class Adam:
     def __init__(self, p: dict):
         self.m, self.v, self.t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
@@ -233,13 +243,11 @@ def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
     def learn(rows, labels, rate):
         x, used, back, flat = inputs(rows)
         g, dx = gradients(x, (rows > 0).T.astype("float32"), labels, p)
-        d = np.zeros((len(used), x.shape[2]), "float32")
-        np.add.at(d, back.ravel(), dx.transpose(1, 0, 2).reshape(-1, x.shape[2]))
+        d = summed(len(used), back.ravel(), dx.transpose(1, 0, 2).reshape(-1, x.shape[2]))
         d[used == 0] = 0
-        g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        np.add.at(g["word"], ids[used], d[:, :WORD_DIMS])
+        g["word"] = summed(len(p["word"]), ids[used], d[:, :WORD_DIMS])
         g["word"][0] = 0
-        np.add.at(g["char"], flat, np.repeat(d[:, WORD_DIMS:] / sizes[used][:, None], sizes[used], 0))
+        g["char"] = summed(len(p["char"]), flat, np.repeat(d[:, WORD_DIMS:] / sizes[used][:, None].astype("float32"), sizes[used], 0))
         adam.step(p, g, rate)
 
     def scores(rows):
