@@ -7,7 +7,6 @@ Layers, each a plain set of DataFrame -> DataFrame functions:
 * ``farelens.functions``  column-expression helpers (strip, parsing, rounding)
 * ``farelens.operators``  row rules, cleaning and enrichment, KPIs, reports
 * ``farelens.plans``      the end-to-end batch run and its sinks
-* ``farelens.streaming``  the same row rules applied to a file stream
 """
 
 __version__ = "0.1.0"

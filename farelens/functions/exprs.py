@@ -61,12 +61,20 @@ def parse_double(c: str | Column) -> Column:
 
 
 def parse_int(c: str | Column) -> Column:
-    return as_column(c).try_cast(T.IntegerType())
+    """Text -> whole number; "14.0", "-3.0" and "1e2" are whole, 14.7 is NULL."""
+    number = as_column(c).try_cast(T.DecimalType(20, 6))
+    return F.when(number == F.floor(number), number.try_cast(T.IntegerType()))
 
 
-def parse_timestamp(c: str | Column) -> Column:
-    """Text -> timestamp without zone; unparseable -> NULL."""
-    return as_column(c).try_cast(T.TimestampNTZType())
+def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
+    """Text -> timestamp without zone; unparseable -> NULL.
+
+    ISO text is always read; ``fmt`` names one more pattern (``MM/dd/yyyy HH:mm``).
+    """
+    iso = as_column(c).try_cast(T.TimestampNTZType())
+    if fmt is None:
+        return iso
+    return F.coalesce(iso, F.try_to_timestamp(as_column(c), F.lit(fmt)).cast(T.TimestampNTZType()))
 
 
 def to_double(c: str | Column) -> Column:

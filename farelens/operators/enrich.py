@@ -100,7 +100,7 @@ def transform(df: DataFrame, flag_column: str | None = "has_known_uplift",
     holds the valid row count.
     """
     if require_rows and df.isEmpty():
-        raise ValueError("No rows to transform: every staged row was flagged invalid, or staging is empty.")
+        raise ValueError("No valid row is left to make fact rows from.")
     return select_fact_columns(enrich(reconcile_total_fare(clean(df)), flag_column))
 
 

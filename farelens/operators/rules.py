@@ -12,6 +12,7 @@ Everything is a projection over the input, so labelling is one narrow stage
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,7 @@ from farelens.model import (
     NOT_NULL_COLUMNS,
     NUMERIC_COLUMNS,
     REQUIRED_COLUMNS,
+    STAGED_TYPES,
     QualityGateError,
     SchemaValidationError,
 )
@@ -40,6 +42,7 @@ from farelens.sources.staging import conform, raw_column_name
 # Tolerance of the uplift test: |ratio - f| <= atol + rtol * |f|.
 UPLIFT_TOLERANCE = FARE_UPLIFT_ABSOLUTE_TOLERANCE + FARE_UPLIFT_RELATIVE_TOLERANCE * abs(KNOWN_FARE_UPLIFT_FACTOR)
 
+LABEL_PAIR = ("is_valid", "validation_errors")
 LABEL_COLUMNS = ("is_valid", "validation_errors", "reconciles_exactly", "has_known_uplift")
 
 
@@ -50,6 +53,10 @@ class Rule:
     predicate: Column
 
 
+def code_column(c: str) -> str:
+    return f"_code_{c}"
+
+
 def fare_components() -> Column:
     return F.col("base_fare_bdt") + F.col("tax_surcharge_bdt")
 
@@ -82,12 +89,9 @@ def classify_fare_consistency(df: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    """Conform text input once; typed staging passes through untouched."""
-    needs = any(
-        c in df.columns and isinstance(df.schema[c].dataType, T.StringType)
-        for c in (*NUMERIC_COLUMNS, "departure_datetime", "arrival_datetime", "days_before_departure")
-    )
-    return conform(df) if needs else df
+    """Conform input of any other type once; typed staging passes through."""
+    known = {f.name: f.dataType for f in df.schema.fields if f.name in STAGED_TYPES}
+    return conform(df) if any(t != STAGED_TYPES[c] for c, t in known.items()) else df
 
 
 def rules(df: DataFrame) -> list[Rule]:
@@ -107,13 +111,18 @@ def rules(df: DataFrame) -> list[Rule]:
         out.append(Rule(f"negative_{c}", "negative", F.col(c) < 0))
     for c in NON_EMPTY_STRING_COLUMNS:
         out.append(Rule(f"blank_{c}", "blank", F.col(c).isNull() | (strip(c) == "")))
-    for c in CODE_COLUMNS:
-        code = upper_code(c)
+    # ``label`` has each code and fare test in a column of its own, evaluated once.
+    codes = {c: F.col(code_column(c)) if code_column(c) in cols else upper_code(c) for c in CODE_COLUMNS}
+    for c, code in codes.items():
         out.append(Rule(f"malformed_{c}_code", "malformed_code",
                         code.isNotNull() & ~code.rlike(AIRPORT_CODE_PATTERN)))
     out.append(Rule("source_equals_destination", "same_endpoints",
-                    upper_code("source") == upper_code("destination")))
-    out.append(Rule("fare_mismatch", "fare_mismatch", ~(reconciles_exactly(df) | has_known_uplift(df))))
+                    codes["source"] == codes["destination"]))
+    if {"reconciles_exactly", "has_known_uplift"} <= cols:
+        agree = F.col("reconciles_exactly") | F.col("has_known_uplift")
+    else:
+        agree = reconciles_exactly(df) | has_known_uplift(df)
+    out.append(Rule("fare_mismatch", "fare_mismatch", ~agree))
     if {"departure_datetime", "arrival_datetime"} <= cols:
         out.append(Rule("arrival_before_departure", "arrival_order",
                         F.col("arrival_datetime") < F.col("departure_datetime")))
@@ -165,6 +174,12 @@ def rule_bits(rs: list[Rule]) -> Column:
     return bits
 
 
+def passes_all(rs: list[Rule]) -> Column:
+    """Whether no rule fires, as a conjunction of the rules: a filter on it is
+    split by Catalyst, and rules over one table's columns go below the joins."""
+    return functools.reduce(lambda a, b: a & b, [~r.predicate | r.predicate.isNull() for r in rs])
+
+
 def has_bit(i: int) -> Column:
     return (F.col(RULE_BITS).bitwiseAND(_bit(i))) != 0
 
@@ -177,6 +192,11 @@ def label(df: DataFrame, keep_bits: bool = False) -> DataFrame:
     """
     validate_required_columns(df)
     df = _typed(df)
+    df = df.withColumns({
+        **{code_column(c): upper_code(c) for c in CODE_COLUMNS},
+        "reconciles_exactly": reconciles_exactly(df),
+        "has_known_uplift": has_known_uplift(df),
+    })
     rs = rules(df)
     if len(rs) > 62:
         raise ValueError("too many rules for one bit mask")
@@ -186,12 +206,12 @@ def label(df: DataFrame, keep_bits: bool = False) -> DataFrame:
         df.withColumn(RULE_BITS, rule_bits(rs))
         .withColumns({
             "validation_errors": errors,
-            "is_valid": F.col(RULE_BITS) == 0,
-            "reconciles_exactly": reconciles_exactly(df),
-            "has_known_uplift": has_known_uplift(df),
+            "is_valid": F.col(RULE_BITS) == 0 if keep_bits else passes_all(rs),
         })
+        .drop(*[code_column(c) for c in CODE_COLUMNS])
     )
-    return out if keep_bits else out.drop(RULE_BITS)
+    first = [c for c in out.columns if c not in LABEL_COLUMNS]
+    return out.select(*first, *LABEL_COLUMNS) if keep_bits else out.select(*[c for c in first if c != RULE_BITS], *LABEL_COLUMNS)
 
 
 def rule_hits(df: DataFrame, family: str | None = None) -> DataFrame:
@@ -274,7 +294,7 @@ def report_dict(report_row) -> dict:
 
 def check_not_empty(report: dict) -> None:
     if not report["total_rows"]:
-        raise SchemaValidationError("Staged data is empty; nothing to validate.")
+        raise SchemaValidationError("The source has no data rows, so there is nothing to label.")
 
 
 def enforce_quality_threshold(report: dict, minimum: float = MIN_VALID_ROW_RATIO) -> None:
@@ -282,8 +302,8 @@ def enforce_quality_threshold(report: dict, minimum: float = MIN_VALID_ROW_RATIO
     ratio = float(report["valid_ratio"])
     if ratio < minimum:
         raise QualityGateError(
-            f"Data quality below threshold: {ratio:.2%} of rows valid, required "
-            f"{minimum:.2%}. Findings: {report.get('failed_checks')}"
+            f"Only {ratio:.2%} of the rows passed every rule; the run needs {minimum:.2%}. "
+            f"Rows by rule: {report.get('failed_checks')}"
         )
 
 
@@ -292,10 +312,22 @@ def apply_labels(staging: DataFrame, labels: DataFrame, key: str = "id") -> Data
 
     The pipeline computes labels as columns of the staging frame itself, so it
     never needs this join; it is here for labels that arrive as a separate
-    table. Rows without a label keep NULL ``is_valid`` (unlabelled).
+    table. A row without a new label keeps what it had; two labels for one key
+    are refused (one grouped count of the labels), as they would double rows.
+    ``label_updates`` counts the rows that a label reaches.
     """
-    require_schema_columns(labels, (key, "is_valid", "validation_errors"), "Validation results")
-    keep = [c for c in staging.columns if c not in ("is_valid", "validation_errors")]
-    return staging.select(*keep).join(
-        labels.select(key, "is_valid", "validation_errors"), on=key, how="left"
-    )
+    require_schema_columns(labels, (key, *LABEL_PAIR), "Label table")
+    twice = labels.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"More than one label for {key} {twice[0][key]!r}")
+    new = labels.select(key, F.struct(*LABEL_PAIR).alias("_label"))
+    old = F.struct(*[F.col(c) if c in staging.columns else F.lit(None).cast(t).alias(c)
+                     for c, t in zip(LABEL_PAIR, ("boolean", "string"), strict=True)])
+    keep = [c for c in staging.columns if c not in LABEL_PAIR]
+    joined = staging.join(new, on=key, how="left").withColumn("_label", F.coalesce("_label", old))
+    return joined.select(*keep, *[F.col(f"_label.{c}").alias(c) for c in LABEL_PAIR])
+
+
+def label_updates(staging: DataFrame, labels: DataFrame, key: str = "id") -> int:
+    """How many staging rows have a label in ``labels``."""
+    return staging.join(labels.select(key), on=key, how="left_semi").count()

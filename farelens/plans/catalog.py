@@ -9,7 +9,6 @@ can be compared with an independent SQL engine.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -24,12 +23,15 @@ from farelens.model import (
     KPI_BOOKING_COUNT_TABLE,
     KPI_POPULAR_ROUTES_TABLE,
     KPI_SEASONAL_VARIATION_TABLE,
+    NUMERIC_COLUMNS,
     STAGED_TYPES,
     TEXT_COLUMNS,
+    TOP_N_ROUTES,
 )
 from farelens.operators import analytics, enrich, inspect, kpis, rules
-from farelens.sources.mapping import raw_from_tpch
-from farelens.sources.staging import stage
+from farelens.sources.csv import map_columns
+from farelens.sources.mapping import TEXT_TIME_FORMAT, raw_from_tpch, text_from_tpch
+from farelens.sources.staging import conform, raw_column_name, stage
 
 LINEAGE = ("l_orderkey", "l_linenumber")
 # A fixed stamp for the mapped source, so repeated runs give equal frames.
@@ -45,6 +47,8 @@ class Frames:
     valid: DataFrame
     enriched: DataFrame
     fact: DataFrame
+    text: DataFrame  # as read from text: staging names, missing spellings NULL
+    text_staged: DataFrame
 
 
 def tpch_frames(spark: SparkSession, sf_dir: str) -> Frames:
@@ -53,17 +57,13 @@ def tpch_frames(spark: SparkSession, sf_dir: str) -> Frames:
     labelled = rules.label(staged)
     valid = labelled.where(F.col("is_valid"))
     enriched = enrich.enrich(enrich.reconcile_total_fare(enrich.clean(valid)))
-    return Frames(staged, labelled, valid, enriched, enrich.select_fact_columns(enriched))
+    text = map_columns(text_from_tpch(spark, sf_dir), keep=(*LINEAGE, "_source_file"))
+    text_staged = conform(text, TEXT_TIME_FORMAT)
+    return Frames(staged, labelled, valid, enriched, enrich.select_fact_columns(enriched), text, text_staged)
 
 
-@functools.lru_cache(maxsize=4)
 def shared_frames(spark: SparkSession, sf_dir: str) -> Frames:
-    """``tpch_frames`` built once per session and folder.
-
-    The frames are lazy plans (no data is held), so every registered query can
-    start from the same objects instead of rebuilding the mapping and rule
-    expressions on the driver each time.
-    """
+    """``tpch_frames`` anew at every call: the file listing is never kept."""
     return tpch_frames(spark, sf_dir)
 
 
@@ -87,32 +87,24 @@ def _top_routes(n: int) -> Callable[[Frames], DataFrame]:
 
 
 def row_counts(fr: Frames) -> DataFrame:
-    tables = {FACT_TABLE: fr.fact, **kpis.compute_all(fr.fact)}
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
-             for t, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows of the fact table and of the KPI tables it gives, in one pass."""
+    keys = {KPI_AVERAGE_FARE_TABLE: ("airline",), KPI_SEASONAL_VARIATION_TABLE: ("seasonality",),
+            KPI_POPULAR_ROUTES_TABLE: ("route", "source", "destination")}
+    n = analytics.distinct_counts(fr.fact, keys, {FACT_TABLE: F.count(F.lit(1))})
+    rows = {t: F.col(t) for t in (FACT_TABLE, KPI_AVERAGE_FARE_TABLE, KPI_SEASONAL_VARIATION_TABLE)}
+    rows[KPI_BOOKING_COUNT_TABLE] = F.col(KPI_AVERAGE_FARE_TABLE)
+    rows[KPI_POPULAR_ROUTES_TABLE] = F.least(F.col(KPI_POPULAR_ROUTES_TABLE), F.lit(TOP_N_ROUTES))
+    return n.select(F.inline(F.array(*[F.struct(F.lit(t).alias("table_name"), c.cast("long").alias("rows")) for t, c in rows.items()])))
 
 
 def fact_summary(fr: Frames) -> DataFrame:
-    staged = fr.labelled.agg(
-        F.count(F.lit(1)).alias("staged_rows"),
-        F.count_if(~F.col("is_valid")).alias("excluded_invalid_rows"),
-    )
-    fact = fr.fact.agg(
-        F.count(F.lit(1)).alias("fact_rows_loaded"),
-        F.count_if(F.col("has_fare_uplift")).alias("rows_with_fare_uplift"),
-        F.countDistinct("airline").alias("distinct_airlines"),
-        F.countDistinct("route").alias("distinct_routes"),
-    )
-    return fact.select(
-        "fact_rows_loaded",
-        staged.select("staged_rows").scalar().alias("staged_rows"),
-        staged.select("excluded_invalid_rows").scalar().alias("excluded_invalid_rows"),
-        "rows_with_fare_uplift", "distinct_airlines", "distinct_routes",
-    )
+    """The load's summary, in one pass over the labelled rows."""
+    every = enrich.enrich(enrich.clean(fr.labelled))
+    valid = lambda c: F.when(F.col("is_valid"), F.col(c)).alias(c)
+    rows = every.select("is_valid", (F.col("is_valid") & F.col("has_fare_uplift")).alias("uplift"), valid("airline"), valid("route"))
+    return analytics.distinct_counts(rows, {"distinct_airlines": ("airline",), "distinct_routes": ("route",)}, {
+        "fact_rows_loaded": F.count_if("is_valid"), "staged_rows": F.count(F.lit(1)),
+        "excluded_invalid_rows": F.count_if(~F.col("is_valid")), "rows_with_fare_uplift": F.count_if("uplift")})
 
 
 QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
@@ -126,6 +118,13 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "rule_counts": lambda fr: rules.rule_counts(fr.staged),
     "quality_report": lambda fr: rules.quality_report(fr.labelled),
     **{f"rule_{fam}": _rule_family(fam) for fam in RULE_FAMILIES},
+    # the text path: missing spellings, typing, and the rules that only text can break
+    "na_spellings": lambda fr: fr.text.select(*LINEAGE, "airline", "seasonality", F.col("tax_surcharge_bdt").isNull().alias("no_tax"),
+                                              F.col("duration_hrs").isNull().alias("no_duration")),
+    "text_staged": lambda fr: _with_lineage(fr.text_staged, *STAGED_TYPES, *[raw_column_name(c) for c in NUMERIC_COLUMNS]),
+    "text_rule_labels": lambda fr: rules.label(fr.text_staged).select(*LINEAGE, "is_valid", "validation_errors"),
+    "text_rule_counts": lambda fr: rules.rule_counts(fr.text_staged),
+    "rule_non_numeric": lambda fr: rules.rule_hits(fr.text_staged, "non_numeric").select(*LINEAGE, "rule"),
     # cleaning and enrichment
     "clean_text": lambda fr: _with_lineage(enrich.clean_text(fr.valid), *TEXT_COLUMNS),
     "clean_codes": lambda fr: _with_lineage(enrich.clean_codes(fr.valid), "source", "destination"),
@@ -162,8 +161,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "route_airline_spread": lambda fr: analytics.route_airline_spread(fr.fact),
     "stopovers": lambda fr: analytics.stopovers(fr.fact),
     "fact_provenance": lambda fr: analytics.fact_provenance(fr.fact),
-    "reconciliation": lambda fr: analytics.reconciliation(
-        fr.fact, kpis.booking_count_by_airline(fr.fact), kpis.average_fare_by_airline(fr.fact)),
+    "reconciliation": lambda fr: analytics.reconciled(fr.fact),
     # load checks
     "row_counts": row_counts,
     "fact_summary": fact_summary,

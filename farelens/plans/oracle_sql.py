@@ -7,19 +7,22 @@ text per key, with the same column names and types as the Spark results.
 
 from __future__ import annotations
 
-from farelens.functions.exprs import WHITESPACE
-from farelens.model import (
-    BASELINE_SEASON,
-    FACT_COLUMNS,
-    KNOWN_FARE_UPLIFT_FACTOR,
-    MIN_VALID_ROW_RATIO,
-    PEAK_SEASONS,
-    TAX_FLOOR_BDT,
+# Nothing is imported from the code under test: a wrong constant there shows.
+# Code points that count as white space (fixed values).
+_SPACES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+_WS = " || ".join(f"chr({c})" for c in _SPACES)
+_PEAK = "'Eid', 'Hajj', 'Winter Holidays'"
+BASELINE_SEASON = "Regular"
+KNOWN_FARE_UPLIFT_FACTOR = 1.2
+UPLIFT_TOLERANCE = 1.21e-06
+MIN_VALID_ROW_RATIO = 0.95
+TAX_FLOOR_BDT = 200
+FACT_COLUMNS = (
+    "airline", "source", "source_name", "destination", "destination_name", "departure_datetime", "arrival_datetime",
+    "duration_hrs", "stopovers", "aircraft_type", "flight_class", "booking_source", "base_fare_bdt",
+    "tax_surcharge_bdt", "total_fare_bdt", "seasonality", "days_before_departure", "route", "is_peak_season",
+    "has_fare_uplift", "_source_file",
 )
-from farelens.operators.rules import UPLIFT_TOLERANCE
-
-_WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
-_PEAK = ", ".join(f"'{s}'" for s in PEAK_SEASONS)
 
 
 def _strip(c: str) -> str:
@@ -59,11 +62,12 @@ j as (
        join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey),
 staged as (
   select l_orderkey, l_linenumber,
-    case d when 1 then null when 2 then '   ' else p_brand end as airline,
+    case d when 1 then null when 2 then '   ' when 19 then chr(9) || p_brand || chr(160) || ' ' else p_brand end as airline,
     case d when 3 then 'DHAKA' when 11 then concat(' n', chr(97 + cast(floor(a / 5.0) as int)), chr(97 + a % 5), ' ')
+           when 12 then null when 17 then chr(9) || ' '
            else concat('N', chr(65 + cast(floor(a / 5.0) as int)), chr(65 + a % 5)) end as source,
-    concat('NATION_', cast(a as varchar)) as source_name,
-    case d when 4 then null else concat('N', chr(65 + cast(floor(b / 5.0) as int)), chr(65 + b % 5)) end as destination,
+    concat('NATION_', cast(a as varchar), case d when 19 then '  ' else '' end) as source_name,
+    case d when 4 then null when 18 then 'C9P' else concat('N', chr(65 + cast(floor(b / 5.0) as int)), chr(65 + b % 5)) end as destination,
     concat('NATION_', cast(b as varchar)) as destination_name,
     l_shipdate as departure_datetime,
     case d when 8 then l_shipdate - interval '15' minute * p_size else l_shipdate + interval '15' minute * p_size end as arrival_datetime,
@@ -72,13 +76,13 @@ staged as (
     p_type as aircraft_type,
     case l_returnflag when 'A' then 'Economy' when 'N' then 'Business' else 'First Class' end as flight_class,
     o_orderpriority as booking_source,
-    cast(case d when 5 then -base0 else base0 end as decimal(14,4)) as base_fare_bdt,
-    tax0 as tax_surcharge_bdt,
-    cast(case when d = 6 then null when d = 7 then base0 + tax0 + 50
+    cast(case d when 5 then -base0 when 13 then null else base0 end as decimal(14,4)) as base_fare_bdt,
+    cast(case d when 14 then null when 15 then -tax0 else tax0 end as decimal(14,4)) as tax_surcharge_bdt,
+    cast(case when d = 6 then null when d = 7 then base0 + tax0 + 50 when d = 16 then -(base0 + tax0)
               when l_orderkey % 23 = 0 then (base0 + tax0) * 1.2 else base0 + tax0 end as decimal(14,4)) as total_fare_bdt,
-    case when month(l_shipdate) in (12, 1) then 'Winter Holidays' when month(l_shipdate) = 4 then 'Eid'
+    case when d = 20 then 'Puja' when d = 21 then null when d = 24 then ' Eid' || chr(9) when month(l_shipdate) in (12, 1) then 'Winter Holidays' when month(l_shipdate) = 4 then 'Eid'
          when month(l_shipdate) = 6 then 'Hajj' else 'Regular' end as seasonality,
-    cast(case d when 10 then -1 else days0 end as int) as days_before_departure,
+    cast(case d when 10 then -1 when 22 then null else days0 end as int) as days_before_departure,
     'lineitem.parquet' as _source_file
   from j)"""
 
@@ -320,7 +324,54 @@ def _row_counts() -> str:
     return "\nunion all\n".join(parts)
 
 
+# The same rows with the defects that only text can have, typed again.
+_RAW = {"base_fare_bdt": "case d when 41 then 'abc' when 42 then '1.0d' end", "tax_surcharge_bdt": "case d when 44 then '12,5' end",
+        "total_fare_bdt": "case d when 45 then 'x1' end", "duration_hrs": "case d when 46 then '1.5f' end"}
+_TEXT_VALUE = {
+    "airline": "case d when 55 then null else airline end",
+    "departure_datetime": "case d when 53 then null when 54 then date_trunc('minute', departure_datetime) else departure_datetime end",
+    "duration_hrs": "case when d in (46, 47) then null else duration_hrs end",
+    "base_fare_bdt": "case when d in (41, 42) then null else base_fare_bdt end",
+    "tax_surcharge_bdt": "case when d in (43, 44) then null else tax_surcharge_bdt end",
+    "total_fare_bdt": "case when d = 45 then null else total_fare_bdt end",
+    "seasonality": "case d when 48 then null when 49 then ' null ' else seasonality end",
+    "days_before_departure": "cast(case d when 50 then -3 when 51 then 14 when 52 then null when 57 then 10 else days_before_departure end as integer)",
+}
+TEXT_STAGED = ("select l_orderkey, l_linenumber, " + ", ".join(f"{_TEXT_VALUE.get(c, c)} as {c}" for c in _STAGED_COLS)
+               + ", " + ", ".join(f"{raw} as _raw_{c}" for c, raw in _RAW.items()) + " from (select *, l_orderkey % 1009 as d from staged)")
+TEXT_FLAGS = f"""select *,
+    coalesce(abs(total_fare_bdt - (base_fare_bdt + tax_surcharge_bdt)) <= 0.01, false) as reconciles_exactly,
+    coalesce(abs(cast(total_fare_bdt as double) / nullif(cast(base_fare_bdt + tax_surcharge_bdt as double), 0)
+                 - cast(1.2 as double)) <= {UPLIFT_TOLERANCE!r}, false) as has_known_uplift
+  from ({TEXT_STAGED}) t"""
+_NULL_RULES = [(label, fam, f"({p}{f' and _raw_{label[5:]} is null' if label[5:] in _RAW else ''})") for label, fam, p in RULES if fam == "null"]
+TEXT_RULES = [*_NULL_RULES, *[(f"non_numeric_{c}", "non_numeric", f"_raw_{c} is not null") for c in _RAW], *[r for r in RULES if r[1] != "null"]]
+
+
+def _text_rule_labels() -> str:
+    errors = ", ".join(f"case when {p} then '{label}' end" for label, _, p in TEXT_RULES)
+    return f"""select l_orderkey, l_linenumber, validation_errors is null as is_valid, validation_errors
+from (select l_orderkey, l_linenumber, nullif(concat_ws(';', {errors}), '') as validation_errors from ({TEXT_FLAGS}) f) x"""
+
+
+def _text_rule_counts() -> str:
+    return "\nunion all\n".join(
+        f"select cast({i + 1} as integer) as rule_order, '{label}' as rule, count(*) filter (where {p}) as rows from ({TEXT_FLAGS}) f"
+        for i, (label, _, p) in enumerate(TEXT_RULES))
+
+
+def _rule_non_numeric() -> str:
+    return "\nunion all\n".join(f"select l_orderkey, l_linenumber, '{label}' as rule from ({TEXT_FLAGS}) f where {p}"
+                                for label, fam, p in TEXT_RULES if fam == "non_numeric")
+
+
 BODIES: dict[str, str] = {
+    "na_spellings": f"""select l_orderkey, l_linenumber, airline, seasonality, tax_surcharge_bdt is null and _raw_tax_surcharge_bdt is null as no_tax,
+  duration_hrs is null and _raw_duration_hrs is null as no_duration from ({TEXT_STAGED}) t""",
+    "text_staged": "select " + ", ".join(["l_orderkey", "l_linenumber", *_d(_STAGED_COLS), *[f"_raw_{c}" for c in _RAW]]) + f" from ({TEXT_STAGED}) t",
+    "text_rule_labels": _text_rule_labels(),
+    "text_rule_counts": _text_rule_counts(),
+    "rule_non_numeric": _rule_non_numeric(),
     "valid_rows": _lineage(_d(_STAGED_COLS) + ["_source_file"], "valid"),
     "provenance": "select _source_file, count(*) as rows_loaded from labelled group by _source_file",
     "rule_labels": _lineage(["is_valid", "validation_errors"], "labelled"),

@@ -36,7 +36,7 @@ from farelens.model import (
     REPORT_FILENAME,
     STAGING_TABLE,
 )
-from farelens.operators import enrich, kpis, rules
+from farelens.operators import analytics, enrich, kpis, rules
 from farelens.plans import sinks
 from farelens.sources import csv as csv_source
 from farelens.sources import tables
@@ -63,6 +63,7 @@ class RunResult:
     timings: dict = field(default_factory=dict)
     load_summary: dict = field(default_factory=dict)
     completed_at: str | None = None
+    unknown_seasons: list[str] = field(default_factory=list)
 
 
 def _run_id(now: datetime) -> str:
@@ -70,14 +71,14 @@ def _run_id(now: datetime) -> str:
 
 
 def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | None,
-                 ingested_at: datetime) -> dict:
+                 ingested_at: datetime, timestamp_format: str | None = None) -> dict:
     """Stage, label and write every row; returns the quality report."""
-    staged = stage(raw, source_file=source_file, ingested_at=ingested_at)
+    staged = stage(raw, source_file=source_file, ingested_at=ingested_at, timestamp_format=timestamp_format)
     labelled = rules.label(staged, keep_bits=True)
     rs = rules.rules(staged)
     observed = sinks.publish(
         labelled, out_dir, STAGING_TABLE, run_id,
-        partition_by=("is_valid",),
+        partition_by=("is_valid",), allow_empty=False,
         observe=rules.report_columns(labelled, with_total=False),
         drop=(rules.RULE_BITS,),
     )
@@ -100,15 +101,16 @@ def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetim
     # This run's own versions are read by path; readers outside the run follow
     # the version log.
     valid = tables.read_staging(spark, sinks.version_path(out_dir, STAGING_TABLE, run_id), valid_only=True)
-    fact = enrich.transform(valid).withColumn(
-        "_loaded_at", F.lit(loaded_at).cast("timestamp_ntz")
-    )
+    fact = enrich.transform(valid).withColumns({
+        "_loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),
+        "id": F.monotonically_increasing_id(),
+    })
     observed = sinks.publish(
         fact, out_dir, FACT_TABLE, run_id, schema=FACT_SCHEMA, not_null=FACT_NOT_NULL,
         observe=[F.count_if(F.col("has_fare_uplift")).alias("uplift_rows")],
     )
     written = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
-    distinct = written.agg(F.countDistinct("airline").alias("a"), F.countDistinct("route").alias("r")).first()
+    distinct = analytics.distinct_counts(written, {"a": ("airline",), "r": ("route",)}, {"n": F.count(F.lit(1))}).first()
     return {
         "fact_rows_loaded": observed["_rows"],
         "staged_rows": report["total_rows"],
@@ -119,7 +121,8 @@ def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetim
     }
 
 
-def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4) -> dict[str, int]:
+def load_kpis(spark: SparkSession, out_dir: str, run_id: str, computed_at: datetime,
+              parallel: int = 4) -> dict[str, int]:
     """Compute and publish the four KPI tables as independent concurrent jobs.
 
     Each reads only its columns of the stored fact table. A KPI table has one
@@ -131,14 +134,26 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, parallel: int = 4)
 
     def one(item):
         table, frame = item
-        metrics = sinks.publish(frame.repartition(1), out_dir, table, run_id,
-                                schema=KPI_SCHEMAS[table], key=KPI_KEYS[table])
+        stamped = frame.repartition(1).withColumn("computed_at", F.lit(computed_at).cast("timestamp_ntz"))
+        required = tuple(f.name for f in KPI_SCHEMAS[table].fields if not f.nullable)
+        metrics = sinks.publish(stamped, out_dir, table, run_id, schema=KPI_SCHEMAS[table],
+                                key=KPI_KEYS[table], not_null=(*required, "computed_at"))
         return table, metrics["_rows"]
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(one, kpis.compute_all(fact).items()))
 
 
+def unknown_seasons(spark: SparkSession, out_dir: str, run_id: str, named: int = 20) -> list[str]:
+    """Warns of seasons of this run's fact that are neither peak nor baseline;
+    the first ``named`` of them by name."""
+    fact = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
+    found = [r["seasonality"] for r in enrich.unknown_seasons(fact).orderBy("seasonality").limit(named).collect()]
+    if found:
+        log.warning("Seasons counted as off-peak because they are not known: %s", found)
+    return found
+
+
 def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, int]:
     """Recount every analytics table from storage; fail if any is empty.
 
@@ -150,14 +165,17 @@ def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) ->
     counts = {t: spark.read.parquet(path(t)).count() for t in (*KPI_SCHEMAS, FACT_TABLE)}
     empty = [t for t, n in counts.items() if n == 0]
     if empty:
-        raise ValueError(f"Pipeline finished but these analytics tables are empty: {empty}")
+        raise ValueError(f"The run left these tables without rows: {empty}")
     return counts
 
 
 def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
         min_valid_ratio: float = MIN_VALID_ROW_RATIO, multiline_csv: bool = False,
-        source_file: str | None = None) -> RunResult:
-    """The whole run. ``source`` is a CSV path (file or folder) or a raw frame."""
+        source_file: str | None = None, timestamp_format: str | None = None) -> RunResult:
+    """The whole run. ``source`` is a CSV path (file or folder) or a raw frame.
+
+    ``timestamp_format`` names the pattern of timestamps that aren't ISO text.
+    """
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = _run_id(now)
     if isinstance(source, str):
@@ -170,20 +188,21 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     rules.validate_required_columns(raw)
     timings = {}
     t0 = time.perf_counter()
-    report = load_staging(raw, out_dir, run_id, name, now)
+    report = load_staging(raw, out_dir, run_id, name, now, timestamp_format)
     timings["staging"] = time.perf_counter() - t0
     rules.check_not_empty(report)
     sinks.write_report_json(spark, {**report, "source_file": name}, f"{out_dir}/{REPORT_FILENAME}")
     log.info("quality report %s", json.dumps(report))
     rules.enforce_quality_threshold(report, min_valid_ratio)
     if report["valid_rows"] == 0:
-        raise ValueError("No rows to transform: every staged row was flagged invalid.")
+        raise ValueError("Every staged row failed a rule, so there is no fact to load.")
 
     t0 = time.perf_counter()
     fact_summary = load_fact(spark, out_dir, run_id, now, report)
     timings["fact"] = time.perf_counter() - t0
+    seasons = unknown_seasons(spark, out_dir, run_id)
     t0 = time.perf_counter()
-    load_kpis(spark, out_dir, run_id)
+    load_kpis(spark, out_dir, run_id, now)
     timings["kpis"] = time.perf_counter() - t0
     t0 = time.perf_counter()
     counts = row_counts(spark, out_dir, run_id)
@@ -191,4 +210,4 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     load_summary = {"source_file": name, "rows_loaded": report["total_rows"],
                     "ingested_at": now.isoformat()}
     done = datetime.now(timezone.utc).isoformat()
-    return RunResult(run_id, report, fact_summary, counts, timings, load_summary, done)
+    return RunResult(run_id, report, fact_summary, counts, timings, load_summary, done, seasons)

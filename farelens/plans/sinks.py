@@ -5,14 +5,16 @@ failed run leaves a table empty or half-written. Here every write goes to a new
 version folder ``<table>/v=<run_id>``; only after its row count and constraints
 check out is the version recorded in the append-only ``<table>/_versions`` log.
 Readers take the latest recorded version, so until the record lands they keep
-reading the previous one. A failed job leaves an unrecorded folder, which the
-next successful publish prunes.
+reading the previous one. Nothing is deleted by a publish: a folder that isn't
+recorded may be one that another run is still writing. ``prune_versions`` drops
+old recorded versions when it is asked to.
 """
 
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
+import uuid
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,21 +78,21 @@ def write_version(df: DataFrame, root: str, table: str, version: str,
     ``observe`` holds aggregate expressions evaluated during the write itself
     (no second scan); ``drop`` lists helper columns the metrics read but the
     table does not keep. The row count is always observed and checked against
-    a read-back count of the written files.
+    a read-back count of the written files, which are read with the declared
+    schema, so a table without rows counts as zero.
     """
     obs = Observation(f"{table}_{version}")
     metrics = [F.count(F.lit(1)).alias("_rows"), *(observe or [])]
-    writer = df.observe(obs, *metrics).drop(*drop).write.mode("errorifexists")
+    kept = df.observe(obs, *metrics).drop(*drop)
+    writer = kept.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     path = version_path(root, table, version)
     writer.parquet(path)
     observed = dict(obs.get)
-    written = df.sparkSession.read.parquet(path).count()
+    written = df.sparkSession.read.schema(kept.schema).parquet(path).count()
     if written != observed["_rows"]:
-        raise LoadCheckError(
-            f"Row count mismatch for {table}: wrote {observed['_rows']} rows, read back {written}."
-        )
+        raise LoadCheckError(f"{table}: {observed['_rows']} rows went out, {written} are stored.")
     return observed
 
 
@@ -125,28 +127,23 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(current_path(spark, root, table))
 
 
-def prune_versions(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
-    """Delete version folders other than the ``keep`` newest recorded ones.
+def prune_versions(spark: SparkSession, root: str, table: str, older_than: timedelta,
+                   keep: int = 2) -> list[str]:
+    """Delete recorded versions published more than ``older_than`` ago.
 
-    Uses the Hadoop FileSystem of the session, so it works on any store the
-    cluster can write to. The version log is read only when the listing shows
-    more than ``keep`` folders.
+    The ``keep`` newest recorded versions stay whatever their age, and folders
+    that aren't recorded are never touched. Only called explicitly; it needs the
+    session's Hadoop FileSystem, so a classic (not a Connect) session.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(table_path(root, table))
-    fs = base.getFileSystem(conf)
-    folders = {st.getPath().getName()[2:]: st.getPath() for st in fs.listStatus(base)
-               if st.isDirectory() and st.getPath().getName().startswith("v=")}
-    if len(folders) <= keep:
-        return []
-    log = _version_log(spark, root, table)
-    kept = {r["version"] for r in log.orderBy(F.desc("published_at"), F.desc("version")).limit(keep).collect()}
+    log = _version_log(spark, root, table).orderBy(F.desc("published_at"), F.desc("version"))
+    newest = {r["version"] for r in log.limit(max(1, keep)).collect()}
+    old = log.where(F.col("published_at") < F.lit(_now() - older_than)).select("version").distinct()
     removed = []
-    for version, path in folders.items():
-        if version not in kept:
-            fs.delete(path, True)
-            removed.append(version)
+    for r in old.toLocalIterator():
+        if r["version"] not in newest:
+            path = _hadoop_path(spark, version_path(root, table, r["version"]))
+            if path.getFileSystem(_hadoop_conf(spark)).delete(path, True):
+                removed.append(r["version"])
     return removed
 
 
@@ -154,11 +151,12 @@ def publish(df: DataFrame, root: str, table: str, version: str, *,
             schema: T.StructType | None = None, not_null: tuple[str, ...] = (),
             key: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
             observe: list | None = None, drop: tuple[str, ...] = (),
-            keep_versions: int | None = 2) -> dict:
+            allow_empty: bool = True) -> dict:
     """Write, check, then publish ``df`` as the current version of ``table``.
 
     NOT NULL counts are observed during the write itself; only the key check
     (meant for small tables such as the KPIs) reads the written data again.
+    Without ``allow_empty`` a table of no rows is written but not published.
     """
     if schema is not None:
         df = conform_schema(df, schema)
@@ -169,9 +167,8 @@ def publish(df: DataFrame, root: str, table: str, version: str, *,
         raise LoadCheckError(f"NULL values in NOT NULL column(s) of {table}: {bad}")
     if key:
         check_constraints(df.sparkSession.read.parquet(version_path(root, table, version)), key=key)
-    record_version(df.sparkSession, root, table, version, metrics["_rows"])
-    if keep_versions:
-        prune_versions(df.sparkSession, root, table, keep_versions)
+    if metrics["_rows"] or allow_empty:
+        record_version(df.sparkSession, root, table, version, metrics["_rows"])
     return metrics
 
 
@@ -186,7 +183,30 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
        .jdbc(url, table, properties=properties or {}))
 
 
+def _hadoop_conf(spark: SparkSession):
+    return spark.sparkContext._jsc.hadoopConfiguration()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def write_report_json(spark: SparkSession, report: dict, path: str) -> None:
-    """The quality report as one JSON document (a one-row frame, one file)."""
-    body = json.dumps(report, default=str)
-    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """The quality report as one JSON file at ``path``.
+
+    Written beside it under another name first and then renamed over it, so a
+    reader finds the old report or the new one, never half of one.
+    """
+    jvm = spark.sparkContext._jvm
+    target, fresh = _hadoop_path(spark, path), _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    fs = target.getFileSystem(_hadoop_conf(spark))
+    out = fs.create(fresh, False)
+    try:
+        out.write(bytearray(json.dumps(report, default=str).encode()))
+    finally:
+        out.close()
+    fs_jvm = jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(fs_jvm.Options.Rename, 1)
+    options[0] = fs_jvm.Options.Rename.OVERWRITE
+    context = fs_jvm.FileContext.getFileContext(fs.getUri(), _hadoop_conf(spark))
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(target), options)

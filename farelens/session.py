@@ -2,14 +2,13 @@
 
 Only settings a Spark user would set for this workload: AQE (runtime
 coalescing, skew-join splitting, broadcast decided on measured sizes), UTC
-session time, and shuffle width. A cluster session keeps whatever the cluster
-already configured; ``spark.checkpoint.dir`` is only filled in when unset.
+session time, and shuffle width. They are defaults: whatever the cluster, the
+submit command or an already running session has set stays as it is.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -17,8 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     # A side is broadcast only when its measured size is under this bound.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
@@ -29,35 +26,32 @@ DEFAULTS = {
     # the per-task sort that a partitioned write otherwise needs.
     "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
+# Fixed when the context starts, so only a new one gets them.
+CONTEXT_DEFAULTS = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def build_session(master: str | None = None, app: str = "farelens",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with the defaults filled in where nothing else was set.
+
+    ``shuffle_partitions`` and ``extra`` are the caller's own wishes and always
+    apply.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
+    if SparkContext._active_spark_context is None:
+        for k, v in CONTEXT_DEFAULTS.items():
+            builder = builder.config(k, v)
+    wishes = dict(extra or {})
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+        wishes["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in wishes.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    already = set(spark.conf.getAll)
+    for k, v in DEFAULTS.items():
+        if k not in already:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    Set from ``fallback`` only when the session has none (local runs, tests).
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    path = os.path.abspath(fallback) if "://" not in fallback else fallback
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path

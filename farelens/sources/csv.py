@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelens.model import CSV_COLUMN_MAP, NA_STRINGS
 
@@ -21,29 +22,60 @@ def check_source_file(spark: SparkSession, path: str) -> str:
         row = listing.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")).first()
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"Source CSV not found at {path}.") from exc
+            raise FileNotFoundError(f"No file to read at {path}") from exc
         raise
     if not row["files"] or not row["bytes"]:
-        raise ValueError(f"Source CSV at {path} is empty.")
+        raise ValueError(f"{path} holds no bytes: empty source")
     return path
 
 
+QUOTING = {"quote": '"', "escape": '"'}
+_BROKEN = "_broken_record"
+_MARK = "\u0002"
+
+
 def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every cell as text, header names as written in the file.
 
     Doubled quotes inside quoted fields are the CSV escape. ``multiLine`` is
-    opt-in because it stops Spark from splitting a file across tasks.
+    opt-in because it stops Spark from splitting a file across tasks. A record
+    that the header can't hold stops the read, with its text in the message: one
+    with more fields than the header, or one whose quotes don't pair up, which
+    is a quoted line break met without ``multiLine``. A record with fewer fields
+    is filled with NULL.
     """
-    return (
-        spark.read.option("header", True)
+    reader = (
+        spark.read.options(**QUOTING)
+        .option("header", True)
         .option("inferSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("multiLine", multiline)
         .option("enforceSchema", False)
-        .csv(path)
     )
+    header = reader.csv(path).schema
+    if not header.fields:
+        return reader.csv(path)
+    schema = T.StructType([*header.fields, T.StructField(_BROKEN, T.StringType())])
+    text = reader.schema(schema).option("columnNameOfCorruptRecord", _BROKEN).csv(path)
+    # Only records with another number of fields have their text in this column.
+    record = F.col(_BROKEN)
+    # A mark put behind the record shows up among the header's cells or the one
+    # after them, unless there are more fields or an open quote takes it in.
+    parsed = F.from_csv(F.concat(record, F.lit("," + _MARK)), ", ".join(f"c{i} string" for i in range(len(header.fields) + 1)), QUOTING)
+    surplus = ~F.array_contains(F.array(*[F.coalesce(parsed[f"c{i}"], F.lit("")) for i in range(len(header.fields) + 1)]), _MARK)
+    unpaired = F.length(F.regexp_replace(record, '[^"]', "")) % 2 == 1
+    stop = F.raise_error(F.concat(
+        F.lit(f"A record has more fields than the header of {len(header.fields)}, or a quoted line break "
+              "(read those with multiline_csv=True): "), F.left(record, F.lit(200)))).cast("boolean")
+    # The first column takes part because Spark reads no column of broken records alone.
+    sound = F.when(record.isNotNull() & (surplus | unpaired) & (F.length(F.concat_ws("", F.col(f"`{header.fields[0].name}`"))) >= 0), stop)
+    return text.where(sound.otherwise(F.lit(True))).drop(_BROKEN)
+
+
+def plain_file_name():
+    """The name of the file a row comes from, as it is on disk: the metadata
+    column has it in the form of a URL, in which a plus stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def map_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -55,7 +87,7 @@ def map_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     missing = sorted(set(CSV_COLUMN_MAP) - set(df.columns))
     if missing:
         raise ValueError(
-            f"Source CSV is missing expected column(s): {missing}. Found: {sorted(df.columns)}"
+            f"The CSV header lacks {missing}; it has {sorted(df.columns)}"
         )
     cols = []
     for header, name in CSV_COLUMN_MAP.items():
@@ -73,6 +105,6 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     leave the labelling of a third of the data to a single task.
     """
     text = read_csv_text(spark, path, multiline)
-    with_file = text.withColumn("_source_file", F.col("_metadata.file_name"))
+    with_file = text.withColumn("_source_file", plain_file_name())
     raw = map_columns(with_file, keep=("_source_file",))
     return raw.hint("rebalance") if multiline else raw

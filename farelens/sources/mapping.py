@@ -7,13 +7,10 @@ keyed on ``l_orderkey % 1009`` and a 1.20x uplift on ``l_orderkey % 23 = 0``.
 not unique, so it is not a row id.
 
 Join order is chosen for size: orders (1/4 of lineitem) meets customer first,
-then the result meets lineitem once on the order key. That join is declared a
-shuffle (sort-merge) join: at scale neither side fits a broadcast anyway, and
-on small inputs stored as one row group it is what spreads the rows over
-``spark.sql.shuffle.partitions`` tasks instead of streaming them through one;
-AQE's skew-join split applies to it. Supplier and part are dimension lookups:
-AQE broadcasts them only when their measured size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+then the result meets lineitem once on the order key. How they are joined is
+left to adaptive execution: it broadcasts a side only when its measured size is
+under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits skewed
+partitions of a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -22,6 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelens.model import CSV_COLUMN_MAP
+from farelens.sources.csv import plain_file_name
+
 TPCH_TABLES = ("lineitem", "orders", "customer", "supplier", "part")
 
 # Defect codes carried by d = l_orderkey % 1009 (fixed values of the mapping).
@@ -37,6 +37,31 @@ D_ARRIVAL_FIRST = 8
 D_ZERO_DURATION = 9
 D_NEGATIVE_DAYS = 10
 D_UNTIDY_SOURCE = 11
+D_NULL_SOURCE = 12
+D_NULL_BASE = 13
+D_NULL_TAX = 14
+D_NEGATIVE_TAX = 15
+D_NEGATIVE_TOTAL = 16
+D_BLANK_SOURCE = 17
+D_MALFORMED_DESTINATION = 18
+D_UNTIDY_TEXT = 19
+D_UNKNOWN_SEASON = 20
+D_NULL_SEASON = 21
+D_NULL_DAYS = 22
+D_UNTIDY_SEASON = 24
+# Defects that only text can carry (``text_from_tpch``): column -> text by code.
+TEXT_DEFECTS = {
+    "base_fare_bdt": {41: "abc", 42: "1.0d"},
+    "tax_surcharge_bdt": {43: "n/a", 44: "12,5"},
+    "total_fare_bdt": {45: "x1"},
+    "duration_hrs": {46: "1.5f", 47: "NaN"},
+    "seasonality": {48: "NA", 49: " null "},
+    "days_before_departure": {50: "-3.0", 51: "14.0", 52: "14.7", 57: "1e1"},
+    "departure_datetime": {53: "some day"},
+    "airline": {55: "None"},
+}
+D_OTHER_TIME_FORMAT = 54
+TEXT_TIME_FORMAT = "MM/dd/yyyy HH:mm"
 UPLIFT_MODULUS = 23
 SAME_NATION_BYPASS_MODULUS = 7
 N_NATIONS = 25
@@ -67,7 +92,7 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        F.col("_metadata.file_name").alias("_source_file"),
+        plain_file_name().alias("_source_file"),
     )
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cust = t["customer"].select("c_custkey", "c_nationkey")
@@ -76,7 +101,7 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     order_side = orders.join(cust, orders.o_custkey == cust.c_custkey)
     j = (
-        li.join(order_side.hint("merge"), li.l_orderkey == order_side.o_orderkey)
+        li.join(order_side, li.l_orderkey == order_side.o_orderkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
         .join(part, li.l_partkey == part.p_partkey)
     )
@@ -103,12 +128,16 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         F.when(d == D_NULL_AIRLINE, F.lit(None).cast("string"))
         .when(d == D_BLANK_AIRLINE, F.lit("   "))
+        .when(d == D_UNTIDY_TEXT, F.concat(F.lit("\t"), F.col("p_brand"), F.lit("\u00a0 ")))
         .otherwise(F.col("p_brand")).alias("airline"),
         F.when(d == D_MALFORMED_SOURCE, F.lit("DHAKA"))
         .when(d == D_UNTIDY_SOURCE, untidy_code)
+        .when(d == D_NULL_SOURCE, F.lit(None).cast("string"))
+        .when(d == D_BLANK_SOURCE, F.lit("\t "))
         .otherwise(upper_code).alias("source"),
-        F.concat(F.lit("NATION_"), a.cast("string")).alias("source_name"),
+        F.concat(F.lit("NATION_"), a.cast("string"), F.when(d == D_UNTIDY_TEXT, F.lit("  ")).otherwise(F.lit(""))).alias("source_name"),
         F.when(d == D_NULL_DESTINATION, F.lit(None).cast("string"))
+        .when(d == D_MALFORMED_DESTINATION, F.lit("C9P"))
         .otherwise(F.concat(F.lit("N"), _nation_code(b, 65))).alias("destination"),
         F.concat(F.lit("NATION_"), b.cast("string")).alias("destination_name"),
         F.col("l_shipdate").alias("departure_datetime"),
@@ -122,19 +151,39 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", F.lit("Business"))
         .otherwise(F.lit("First Class")).alias("flight_class"),
         F.col("o_orderpriority").alias("booking_source"),
-        _dec(F.when(d == D_NEGATIVE_BASE, -base0).otherwise(base0), 14, 4).alias("base_fare_bdt"),
-        tax0.alias("tax_surcharge_bdt"),
+        _dec(F.when(d == D_NULL_BASE, F.lit(None)).when(d == D_NEGATIVE_BASE, -base0).otherwise(base0), 14, 4).alias("base_fare_bdt"),
+        _dec(F.when(d == D_NULL_TAX, F.lit(None)).when(d == D_NEGATIVE_TAX, -tax0).otherwise(tax0), 14, 4).alias("tax_surcharge_bdt"),
         _dec(
             F.when(d == D_NULL_TOTAL, F.lit(None))
             .when(d == D_MISMATCH, base0 + tax0 + MISMATCH_OFFSET)
+            .when(d == D_NEGATIVE_TOTAL, -(base0 + tax0))
             .when(F.col("l_orderkey") % UPLIFT_MODULUS == 0, (base0 + tax0) * F.lit(1.2).cast("decimal(2,1)"))
             .otherwise(base0 + tax0),
             14, 4,
         ).alias("total_fare_bdt"),
-        F.when(month.isin(12, 1), F.lit("Winter Holidays"))
+        F.when(d == D_UNKNOWN_SEASON, F.lit("Puja"))
+        .when(d == D_NULL_SEASON, F.lit(None).cast("string"))
+        .when(d == D_UNTIDY_SEASON, F.lit(" Eid\t"))
+        .when(month.isin(12, 1), F.lit("Winter Holidays"))
         .when(month == 4, F.lit("Eid"))
         .when(month == 6, F.lit("Hajj"))
         .otherwise(F.lit("Regular")).alias("seasonality"),
-        F.when(d == D_NEGATIVE_DAYS, F.lit(-1)).otherwise(days0).cast("int").alias("days_before_departure"),
+        F.when(d == D_NEGATIVE_DAYS, F.lit(-1)).when(d == D_NULL_DAYS, F.lit(None)).otherwise(days0).cast("int").alias("days_before_departure"),
         "_source_file",
     )
+
+
+def text_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as a CSV would bring them: every cell text under the source
+    headers, with defects that only text can have."""
+    raw = raw_from_tpch(spark, sf_dir)
+    d = F.col("l_orderkey") % DEFECT_MODULUS
+    cells = []
+    for header, name in CSV_COLUMN_MAP.items():
+        cell = F.col(name).cast("string")
+        for code, text in TEXT_DEFECTS.get(name, {}).items():
+            cell = F.when(d == code, F.lit(text)).otherwise(cell)
+        if name == "departure_datetime":
+            cell = F.when(d == D_OTHER_TIME_FORMAT, F.date_format(name, TEXT_TIME_FORMAT)).otherwise(cell)
+        cells.append(cell.alias(header))
+    return raw.select("l_orderkey", "l_linenumber", *cells, "_source_file")

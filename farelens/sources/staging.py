@@ -29,7 +29,7 @@ def raw_column_name(column: str) -> str:
     return f"_raw_{column}"
 
 
-def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
+def _typed(df: DataFrame, name: str, target: T.DataType, timestamp_format: str | None = None) -> Column:
     current = df.schema[name].dataType
     col = F.col(name)
     if isinstance(current, T.StringType) and not isinstance(target, T.StringType):
@@ -40,7 +40,7 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
         if isinstance(target, T.IntegerType):
             return parse_int(col)
         if isinstance(target, T.TimestampNTZType):
-            return parse_timestamp(col)
+            return parse_timestamp(col, timestamp_format)
     if current == target:
         if isinstance(target, T.DoubleType):
             return F.when(~F.isnan(col), col)  # NaN is missing, as in a CSV reader
@@ -50,12 +50,13 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
     return col.try_cast(target)
 
 
-def conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     """Cast every known staging column present to its staging type.
 
     Numeric columns that arrive as text keep an unparseable string in
     ``_raw_<c>`` (NULL where the value parsed or was missing). Unknown columns
-    pass through unchanged; absent optional columns stay absent.
+    pass through unchanged; absent optional columns stay absent. Timestamps are
+    read as ISO text and, where given, by ``timestamp_format``.
     """
     out = []
     for name in df.columns:
@@ -63,7 +64,7 @@ def conform(df: DataFrame) -> DataFrame:
         if target is None:
             out.append(F.col(name))
             continue
-        typed = _typed(df, name, target)
+        typed = _typed(df, name, target, timestamp_format)
         if name in NUMERIC_COLUMNS and isinstance(df.schema[name].dataType, T.StringType):
             out.append(F.when(typed.isNull(), F.col(name)).alias(raw_column_name(name)))
         out.append(typed.alias(name))
@@ -71,7 +72,8 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def stage(df: DataFrame, source_file: str | None = None,
-          ingested_at: datetime | None = None, with_id: bool = True) -> DataFrame:
+          ingested_at: datetime | None = None, with_id: bool = True,
+          timestamp_format: str | None = None) -> DataFrame:
     """Typed staging rows with provenance and a row id.
 
     ``_source_file`` is kept when the source already set it (one name per input
@@ -80,7 +82,7 @@ def stage(df: DataFrame, source_file: str | None = None,
     ``id`` is unique but not consecutive; it is stable only once staging is
     written, which the pipeline does before anything reads it.
     """
-    staged = conform(df)
+    staged = conform(df, timestamp_format)
     if "_source_file" not in staged.columns:
         staged = staged.withColumn("_source_file", F.lit(source_file).cast("string"))
     when = ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)

@@ -1,90 +1,71 @@
-"""Cleaning and enrichment (the reference's transformation tests and more)."""
+"""Cleaning and enrichment, as properties of the resulting columns."""
 
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
 
 from farelens.model import FACT_COLUMNS
 from farelens.operators import enrich, rules
-from tests.helpers import a_staged_row, staged_frame
+from tests.helpers import text_rows
 
+# change to the sound row -> what the fact row says
+CASES = [
+    ({"source": " qaa\t", "destination": "qBb"}, {"source": "QAA", "destination": "QBB", "route": "QAA-QBB"}),
+    ({"source": None}, {"source": None, "route": None}),
+    ({"destination": None}, {"route": None}),
+    ({"airline": "　Kite\xa0Air\x1c", "stopovers": " 2 Stops\n", "flight_class": "\x85Premium"}, {"airline": "Kite\xa0Air", "stopovers": "2 Stops", "flight_class": "Premium"}),
+    ({"seasonality": "Hajj"}, {"is_peak_season": True}),
+    ({"seasonality": "\tWinter Holidays "}, {"is_peak_season": True, "seasonality": "Winter Holidays"}),
+    ({"seasonality": "eid"}, {"is_peak_season": False}),
+    ({"seasonality": None}, {"is_peak_season": False, "seasonality": None}),
+    ({"total_fare_bdt": None}, {"total_fare_bdt": Decimal("700.0000")}),
+    ({"total_fare_bdt": None, "base_fare_bdt": None}, {"total_fare_bdt": None}),
+    ({"total_fare_bdt": "1.25"}, {"total_fare_bdt": Decimal("1.2500")}),
+    ({"days_before_departure": "14.0"}, {"days_before_departure": 14}),
+    ({"days_before_departure": "1e2"}, {"days_before_departure": 100}),
+    ({"days_before_departure": "14.7"}, {"days_before_departure": None}),
+    ({"days_before_departure": "soon", "departure_datetime": "07/09/2031 22:40"}, {"days_before_departure": None, "departure_datetime": None}),
+    ({}, {"duration_hrs": 2.5, "departure_datetime": datetime(2031, 7, 9, 22, 40)}),
+]
 
-def fact_of(spark, **changes):
-    return enrich.transform(staged_frame(spark, [a_staged_row(**changes)]), flag_column=None).first()
 
+@pytest.fixture(scope="module")
+def facts(spark):
+    rows = enrich.transform(text_rows(spark, [c | {"_source_file": str(i)} for i, (c, _) in enumerate(CASES)]), flag_column=None).collect()
+    return {int(r["_source_file"]): r for r in rows}
 
-def test_codes_are_cleaned_up(spark):
-    cleaned = enrich.clean(staged_frame(spark, [a_staged_row(source=" dac ", destination="cgp")])).first()
-    assert cleaned["source"] == "DAC"
-    assert cleaned["destination"] == "CGP"
 
+@pytest.mark.parametrize("i", range(len(CASES)))
+def test_fact_values(facts, i):
+    for column, value in CASES[i][1].items():
+        assert facts[i][column] == value, CASES[i][0]
 
-def test_the_route_key_is_built(spark):
-    assert fact_of(spark)["route"] == "DAC-CGP"
 
+def test_columns_are_those_of_the_table(spark):
+    wider = text_rows(spark, [{}]).selectExpr("*", "7 as id", "true as is_valid", "'x' as more")
+    assert tuple(enrich.transform(wider).columns) == FACT_COLUMNS
 
-def test_route_is_null_when_a_code_is_null(spark):
-    assert fact_of(spark, destination=None)["route"] is None
 
+def test_uplift_flag_is_the_one_of_the_rules(spark):
+    frame = text_rows(spark, [{"total_fare_bdt": t, "_source_file": t} for t in ("840", "700", "777")])
+    flagged = {r["_source_file"]: r["has_fare_uplift"] for r in enrich.transform(rules.classify_fare_consistency(frame)).collect()}
+    assert flagged == {"840": True, "700": False, "777": False}
+    assert not any(r["has_fare_uplift"] for r in enrich.transform(frame).collect())
 
-def test_peak_seasons_are_marked(spark):
-    assert fact_of(spark, seasonality="Regular")["is_peak_season"] is False
-    assert fact_of(spark, seasonality="Eid")["is_peak_season"] is True
-    assert fact_of(spark, seasonality=" Hajj ")["is_peak_season"] is True
-    assert fact_of(spark, seasonality=None)["is_peak_season"] is False
 
+def test_only_valid_rows_become_facts(spark):
+    labelled = rules.label(text_rows(spark, [{}, {"airline": " "}, {"total_fare_bdt": "840"}, {"total_fare_bdt": "1"}]))
+    assert sorted(r["total_fare_bdt"] for r in enrich.fact_from_labelled(labelled).collect()) == [700, 840]
 
-def test_a_missing_total_is_calculated(spark):
-    assert fact_of(spark, total_fare_bdt=None)["total_fare_bdt"] == Decimal("10200.0000")
 
+def test_seasons_that_nobody_knows(spark):
+    frame = text_rows(spark, [{"seasonality": s} for s in ("Monsoon", " Monsoon", "Harvest", "Regular", "Eid", "Hajj", None)])
+    assert sorted(r["seasonality"] for r in enrich.unknown_seasons(frame).collect()) == ["Harvest", "Monsoon"]
 
-def test_a_missing_total_stays_missing_without_its_parts(spark):
-    assert fact_of(spark, total_fare_bdt=None, tax_surcharge_bdt=None)["total_fare_bdt"] is None
 
-
-def test_an_existing_total_is_never_overwritten(spark):
-    assert fact_of(spark, total_fare_bdt="12240.0")["total_fare_bdt"] == Decimal("12240.0000")
-
-
-def test_uplift_rows_are_flagged_for_analysts(spark):
-    df = rules.classify_fare_consistency(staged_frame(spark, [a_staged_row(total_fare_bdt="12240.0")]))
-    assert enrich.transform(df).first()["has_fare_uplift"] is True
-    # without the flag column the value defaults to false
-    assert fact_of(spark, total_fare_bdt="12240.0")["has_fare_uplift"] is False
-
-
-def test_only_fact_table_columns_come_out(spark):
-    df = staged_frame(spark, [a_staged_row()]).selectExpr("*", "1 as id", "true as is_valid")
-    result = enrich.transform(df)
-    assert tuple(result.columns) == FACT_COLUMNS
-    assert "id" not in result.columns and "is_valid" not in result.columns
-
-
-def test_text_is_stripped_like_python(spark):
-    r = fact_of(spark, airline="Biman\t", stopovers="　Direct\xa0", aircraft_type="\x1cA320\x1f")
-    assert (r["airline"], r["stopovers"], r["aircraft_type"]) == ("Biman", "Direct", "A320")
-
-
-def test_types_are_coerced(spark):
-    r = fact_of(spark, departure_datetime="bad", days_before_departure="x")
-    assert r["departure_datetime"] is None and r["days_before_departure"] is None
-    r = fact_of(spark)
-    assert r["days_before_departure"] == 14 and r["duration_hrs"] == 1.0
-
-
-def test_unknown_seasons_are_listed(spark):
-    df = staged_frame(spark, [a_staged_row(seasonality=s) for s in ("Regular", "Puja", "Puja ", None, "Eid")])
-    assert [r["seasonality"] for r in enrich.unknown_seasons(df).collect()] == ["Puja"]
-
-
-def test_empty_input_raises_when_asked(spark):
-    df = staged_frame(spark, [a_staged_row()]).limit(0)
-    with pytest.raises(ValueError, match="No rows"):
-        enrich.transform(df, require_rows=True)
-
-
-def test_fact_from_labelled_keeps_valid_rows_only(spark):
-    df = staged_frame(spark, [a_staged_row(), a_staged_row(airline=None), a_staged_row(total_fare_bdt="12240")])
-    fact = enrich.fact_from_labelled(rules.label(df)).collect()
-    assert len(fact) == 2
-    assert sorted(r["has_fare_uplift"] for r in fact) == [False, True]
+def test_empty_input(spark):
+    none = text_rows(spark, [])
+    assert enrich.transform(none).count() == 0
+    with pytest.raises(ValueError):
+        enrich.transform(none, require_rows=True)

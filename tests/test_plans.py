@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from __spark_entry__ import queries
+from farelens.plans.catalog import QUERIES, shared_frames
 from farelens.operators import kpis
 from farelens.plans import pipeline, sinks
 from farelens.model import FACT_TABLE, STAGING_TABLE
@@ -20,21 +20,53 @@ def plan(df) -> str:
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 def test_no_python_udf_in_any_query(spark):
-    for name, q in queries().items():
-        text = plan(q(spark, SF_DIR))
+    frames = shared_frames(spark, SF_DIR)
+    for name, q in QUERIES.items():
+        text = plan(q(frames))
         assert "PythonUDF" not in text and "EvalPython" not in text, name
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 def test_windows_only_over_top_n_rows(spark):
-    for name, q in queries().items():
-        df = q(spark, SF_DIR)
+    frames = shared_frames(spark, SF_DIR)
+    for name, q in QUERIES.items():
+        df = q(frames)
         text = df._jdf.queryExecution().optimizedPlan().toString()
         if "Window" in text:
             assert name.startswith("kpi_popular_routes"), name
             assert text.index("Window") < text.index("Limit"), name  # the window sits above the cut
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["reconciliation", "row_counts", "fact_summary", "fact_provenance"])
+def test_summaries_pass_the_rows_once(spark, name):
+    """One scan of lineitem, no row copied for a distinct count."""
+    text = QUERIES[name](shared_frames(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in text and text.count("l_extendedprice") and text.count("lineitem.parquet") <= 1
+    assert len([line for line in text.split("\n") if "Relation" in line and "l_orderkey" in line]) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+def test_fare_rules_go_below_the_joins(spark):
+    text = shared_frames(spark, SF_DIR).valid._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    scan = next(i for i, line in enumerate(text) if "Relation" in line and "l_orderkey" in line)
+    below = [line for line in text[:scan] if "Filter" in line and "l_discount" in line and "Join" not in line]
+    assert below, "no fare rule in a filter over the lineitem scan"
+
+
+def test_a_new_file_is_seen_by_the_next_call(spark, tmp_path):
+    """Nothing is kept between two calls on one folder."""
+    tables_dir = str(tmp_path)
+    for t in ("orders", "customer", "supplier", "part"):
+        os.symlink(f"{SF_DIR}/{t}.parquet", f"{tables_dir}/{t}.parquet")
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").limit(50)
+    lines.coalesce(1).write.parquet(f"{tables_dir}/lineitem.parquet")
+    count = lambda: shared_frames(spark, tables_dir).labelled.count()
+    first = count()
+    lines.coalesce(1).write.mode("append").parquet(f"{tables_dir}/lineitem.parquet")
+    assert count() == 2 * first
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("plans"))

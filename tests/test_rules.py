@@ -1,172 +1,151 @@
-"""Row rules: the reference's validator tests plus the edge rows."""
+"""The row rules: one table of single defects, and what is built on the labels."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from farelens.model import QualityGateError, SchemaValidationError
 from farelens.operators import rules
-from tests.helpers import REQUIRED, a_staged_row, a_valid_row, staged_frame, text_frame
-
-
-def label_one(spark, row, columns=REQUIRED):
-    return rules.label(text_frame(spark, [row], columns)).first()
+from farelens.sources.staging import conform
+from tests.helpers import REQUIRED, plan_of, text_rows
+
+MISMATCH = "fare_mismatch"
+# change to the sound row -> labels in rule order, known uplift
+DEFECTS = [
+    ({}, [], False),
+    # missing and blank text
+    ({"airline": None}, ["null_airline", "blank_airline"], False),
+    ({"airline": ""}, ["blank_airline"], False),
+    ({"airline": " 　\xa0\x1f"}, ["blank_airline"], False),
+    ({"airline": "\tKite Air "}, [], False),
+    ({"source": None}, ["null_source", "blank_source"], False),
+    ({"source": "  "}, ["blank_source", "malformed_source_code"], False),
+    ({"destination": None}, ["null_destination", "blank_destination"], False),
+    # codes
+    ({"source": "Q1A"}, ["malformed_source_code"], False),
+    ({"source": "QAAA"}, ["malformed_source_code"], False),
+    ({"source": "\nqaa "}, [], False),
+    ({"destination": "qb"}, ["malformed_destination_code"], False),
+    ({"destination": " qaa"}, ["source_equals_destination"], False),
+    # fares
+    ({"base_fare_bdt": None}, ["null_base_fare_bdt", MISMATCH], False),
+    ({"tax_surcharge_bdt": None}, ["null_tax_surcharge_bdt", MISMATCH], False),
+    ({"total_fare_bdt": None}, ["null_total_fare_bdt", MISMATCH], False),
+    ({"base_fare_bdt": "six"}, ["non_numeric_base_fare_bdt", MISMATCH], False),
+    ({"tax_surcharge_bdt": "59,5"}, ["non_numeric_tax_surcharge_bdt", MISMATCH], False),
+    ({"total_fare_bdt": "700f"}, ["non_numeric_total_fare_bdt", MISMATCH], False),
+    ({"tax_surcharge_bdt": "-59.50", "total_fare_bdt": "581"}, ["negative_tax_surcharge_bdt"], False),
+    ({"base_fare_bdt": "-640.5"}, ["negative_base_fare_bdt", MISMATCH], False),
+    ({"total_fare_bdt": "-700"}, ["negative_total_fare_bdt", MISMATCH], False),
+    ({"base_fare_bdt": "0", "tax_surcharge_bdt": "0", "total_fare_bdt": "0.0"}, [], False),
+    ({"total_fare_bdt": "700.01"}, [], False),
+    ({"total_fare_bdt": "699.99"}, [], False),
+    ({"total_fare_bdt": "700.0101"}, [MISMATCH], False),
+    ({"total_fare_bdt": "840"}, [], True),
+    ({"total_fare_bdt": "840.0008"}, [], True),
+    ({"total_fare_bdt": "840.0009"}, [MISMATCH], False),
+    ({"total_fare_bdt": "839"}, [MISMATCH], False),
+    # times, duration, lead time
+    ({"arrival_datetime": "2031-07-09 22:39:59"}, ["arrival_before_departure"], False),
+    ({"arrival_datetime": "2031-07-09 22:40:00"}, [], False),
+    ({"departure_datetime": "tonight"}, [], False),
+    ({"duration_hrs": "0"}, ["non_positive_duration"], False),
+    ({"duration_hrs": "-0.1"}, ["non_positive_duration"], False),
+    ({"duration_hrs": "2.5d"}, ["non_numeric_duration_hrs"], False),
+    ({"duration_hrs": "nan"}, ["non_numeric_duration_hrs"], False),
+    ({"days_before_departure": "-3.0"}, ["negative_days_before_departure"], False),
+    ({"days_before_departure": "-1"}, ["negative_days_before_departure"], False),
+    ({"days_before_departure": "0.0"}, [], False),
+    ({"days_before_departure": None, "duration_hrs": None}, [], False),
+    ({"seasonality": "Monsoon"}, [], False),
+]
 
 
-def report_of(df):
-    return rules.report_dict(rules.quality_report(rules.label(df)).first())
+@pytest.fixture(scope="module")
+def frame(spark):
+    return text_rows(spark, [change | {"_source_file": str(i)} for i, (change, _, _) in enumerate(DEFECTS)])
 
 
-def test_a_clean_row_passes(spark):
-    df = text_frame(spark, [a_valid_row()], REQUIRED)
-    r = rules.label(df).first()
-    assert r["is_valid"] is True
-    assert r["validation_errors"] is None
-    assert report_of(df)["valid_rows"] == 1
+@pytest.fixture(scope="module")
+def labelled(frame):
+    return {int(r["_source_file"]): r for r in rules.label(frame).collect()}
 
 
-def test_a_missing_airline_is_flagged(spark):
-    r = label_one(spark, a_valid_row(airline=None))
-    assert r["is_valid"] is False
-    assert "null_airline" in r["validation_errors"]
+@pytest.mark.parametrize("i", range(len(DEFECTS)))
+def test_labels_of_single_defects(labelled, i):
+    change, labels, uplift = DEFECTS[i]
+    row = labelled[i]
+    assert (row["validation_errors"] or "").split(";") == (labels or [""]), change
+    assert row["is_valid"] is (not labels)
+    assert row["has_known_uplift"] is uplift
 
 
-def test_a_negative_fare_is_flagged(spark):
-    r = label_one(spark, a_valid_row(base_fare_bdt="-500.0"))
-    assert r["is_valid"] is False
-    assert "negative_base_fare_bdt" in r["validation_errors"]
+def test_bits_and_conjunction_agree(frame, labelled):
+    by_bits = {int(r["_source_file"]): r["is_valid"] for r in rules.label(frame, keep_bits=True).collect()}
+    assert by_bits == {i: r["is_valid"] for i, r in labelled.items()}
 
 
-def test_a_bad_airport_code_is_flagged(spark):
-    r = label_one(spark, a_valid_row(source="DHAKA"))
-    assert r["is_valid"] is False
-    assert "malformed_source_code" in r["validation_errors"]
+def test_counts_hits_and_report_tell_the_same(frame):
+    want = {}
+    for _, labels, _ in DEFECTS:
+        for name in labels:
+            want[name] = want.get(name, 0) + 1
+    counts = {r["rule"]: r["rows"] for r in rules.rule_counts(frame).orderBy("rule_order").collect()}
+    assert list(counts) == rules.all_rule_labels()
+    assert {k: n for k, n in counts.items() if n} == want
+    hits = rules.rule_hits(frame)
+    assert {r["rule"]: r["count"] for r in hits.groupBy("rule").count().collect()} == want
+    assert rules.rule_hits(frame, "lead_time").count() == 2
+    report = rules.report_dict(rules.quality_report(rules.label(frame)).first())
+    assert report["failed_checks"] == want and list(report["failed_checks"]) == [k for k in counts if k in want]
+    sound = sum(not labels for _, labels, _ in DEFECTS)
+    assert (report["total_rows"], report["valid_rows"], report["invalid_rows"]) == (len(DEFECTS), sound, len(DEFECTS) - sound)
+    assert report["rows_with_known_fare_uplift"] == 2
 
 
-def test_the_20_percent_uplift_rows_are_valid(spark):
-    df = text_frame(spark, [a_valid_row(total_fare_bdt="12240.0")], REQUIRED)
-    r = rules.label(df).first()
-    assert r["is_valid"] is True
-    assert r["has_known_uplift"] is True
-    assert report_of(df)["rows_with_known_fare_uplift"] == 1
+def test_nan_in_a_typed_fare_is_missing(spark):
+    typed = conform(text_rows(spark, [{}])).withColumn("base_fare_bdt", F.lit(float("nan")))
+    assert rules.label(typed).first()["validation_errors"] == "null_base_fare_bdt;fare_mismatch"
 
 
-def test_a_total_that_matches_no_rule_is_flagged(spark):
-    r = label_one(spark, a_valid_row(total_fare_bdt="11000.0"))
-    assert r["is_valid"] is False
-    assert "fare_mismatch" in r["validation_errors"]
+@pytest.mark.parametrize("gone", REQUIRED)
+def test_a_required_column_must_be_there(spark, gone):
+    with pytest.raises(SchemaValidationError, match=gone):
+        rules.label(text_rows(spark, [{}]).drop(gone))
 
 
-def test_missing_required_column_stops_the_run(spark):
-    df = text_frame(spark, [a_valid_row()], REQUIRED).drop("total_fare_bdt")
-    with pytest.raises(SchemaValidationError, match="total_fare_bdt"):
-        rules.label(df)
+def test_only_the_required_columns_are_enough(spark):
+    assert rules.label(text_rows(spark, [{}], REQUIRED)).first()["is_valid"] is True
 
 
-def test_too_much_bad_data_fails_the_pipeline():
-    with pytest.raises(ValueError, match="below threshold"):
-        rules.enforce_quality_threshold({"valid_ratio": 0.10, "failed_checks": {"null_airline": 9}})
-    with pytest.raises(QualityGateError):
-        rules.enforce_quality_threshold({"valid_ratio": 0.949999, "failed_checks": {}})
-    rules.enforce_quality_threshold({"valid_ratio": 0.95, "failed_checks": {}})  # equal passes
+def test_no_rows_give_an_empty_report_that_is_refused(spark):
+    report = rules.report_dict(rules.quality_report(rules.label(text_rows(spark, []))).first())
+    assert report["total_rows"] == 0
+    with pytest.raises(SchemaValidationError):
+        rules.check_not_empty(report)
 
 
-def test_empty_input_is_a_schema_error(spark):
-    df = text_frame(spark, [], REQUIRED)
-    report = report_of(df)
-    with pytest.raises(SchemaValidationError, match="empty"):
-        rules.check_not_empty(report)
+@pytest.mark.parametrize("ratio,passes", [(1.0, True), (0.95, True), (0.949999, False), (0.0, False)])
+def test_gate(ratio, passes):
+    report = {"valid_ratio": ratio, "failed_checks": {"blank_airline": 4}}
+    if passes:
+        rules.enforce_quality_threshold(report)
+    else:
+        with pytest.raises(QualityGateError, match="blank_airline"):
+            rules.enforce_quality_threshold(report)
 
 
-# Edge rows: (changes to the full base row, expected validation_errors, expected uplift)
-EDGE_ROWS = [
-    ({}, None, False),
-    ({"airline": None}, "null_airline;blank_airline", False),
-    ({"airline": "   "}, "blank_airline", False),
-    ({"source": None}, "null_source;blank_source", False),
-    ({"source": "DHAKA"}, "malformed_source_code", False),
-    ({"source": ""}, "blank_source;malformed_source_code", False),
-    ({"destination": " dac "}, "source_equals_destination", False),
-    ({"total_fare_bdt": None}, "null_total_fare_bdt;fare_mismatch", False),
-    ({"base_fare_bdt": "-500"}, "negative_base_fare_bdt;fare_mismatch", False),
-    ({"total_fare_bdt": "12240"}, None, True),
-    ({"total_fare_bdt": "11000"}, "fare_mismatch", False),
-    ({"base_fare_bdt": "abc"}, "non_numeric_base_fare_bdt;fare_mismatch", False),
-    ({"arrival_datetime": "2025-03-01 07:00:00"}, "arrival_before_departure", False),
-    ({"arrival_datetime": "2025-03-01 08:00:00"}, None, False),
-    ({"duration_hrs": "0"}, "non_positive_duration", False),
-    ({"days_before_departure": "-1"}, "negative_days_before_departure", False),
-    ({"base_fare_bdt": "0", "tax_surcharge_bdt": "0", "total_fare_bdt": "0"}, None, False),
-    ({"base_fare_bdt": "-100", "tax_surcharge_bdt": "-20", "total_fare_bdt": "-144"},
-     "negative_base_fare_bdt;negative_tax_surcharge_bdt;negative_total_fare_bdt", True),
-    ({"seasonality": "Puja"}, None, False),
-    ({"total_fare_bdt": "10200.01"}, None, False),
-    ({"total_fare_bdt": "12240.0122"}, None, True),
-    ({"total_fare_bdt": "12240.0124"}, "fare_mismatch", False),
-    ({"departure_datetime": "bad"}, None, False),
-    ({"days_before_departure": None, "duration_hrs": None}, None, False),
-    ({"airline": "Biman\t"}, None, False),
-    ({"base_fare_bdt": "1.0d"}, "non_numeric_base_fare_bdt;fare_mismatch", False),
-    ({"duration_hrs": "1.5f"}, "non_numeric_duration_hrs", False),
-    ({"duration_hrs": "NaN"}, "non_numeric_duration_hrs", False),  # as text; a CSV reads it as missing
-    ({"airline": "　\xa0"}, "blank_airline", False),
-    ({"source": "DAC\n"}, None, False),
-]
+def test_labels_of_another_table(spark):
+    staging = spark.createDataFrame([(1, "a", True, None), (2, "b", False, "old"), (3, "c", None, None)],
+                                    "id long, airline string, is_valid boolean, validation_errors string")
+    labels = spark.createDataFrame([(1, False, "new"), (9, True, None)], "id long, is_valid boolean, validation_errors string")
+    got = {r["id"]: (r["airline"], r["is_valid"], r["validation_errors"]) for r in rules.apply_labels(staging, labels).collect()}
+    assert got == {1: ("a", False, "new"), 2: ("b", False, "old"), 3: ("c", None, None)}
+    assert rules.label_updates(staging, labels) == 1
+    bare = rules.apply_labels(staging.select("id", "airline"), labels)
+    assert {r["id"]: r["is_valid"] for r in bare.collect()} == {1: False, 2: None, 3: None}
+    with pytest.raises(ValueError, match="More than one"):
+        rules.apply_labels(staging, labels.union(labels))
 
 
-@pytest.fixture(scope="module")
-def labelled_edges(spark):
-    rows = [a_staged_row(**c, _source_file=str(i)) for i, (c, _, _) in enumerate(EDGE_ROWS)]
-    return {int(r["_source_file"]): r for r in rules.label(staged_frame(spark, rows)).collect()}
-
-
-@pytest.mark.parametrize("i", range(len(EDGE_ROWS)))
-def test_edge_rows(labelled_edges, i):
-    changes, errors, uplift = EDGE_ROWS[i]
-    r = labelled_edges[i]
-    assert r["validation_errors"] == errors, changes
-    assert r["is_valid"] is (errors is None)
-    assert r["has_known_uplift"] is uplift
-
-
-def test_report_counts_every_rule_in_one_pass(spark):
-    rows = [a_staged_row(**c) for c, _, _ in EDGE_ROWS]
-    df = staged_frame(spark, rows)
-    report = report_of(df)
-    expected_invalid = sum(1 for _, e, _ in EDGE_ROWS if e is not None)
-    assert report["total_rows"] == len(EDGE_ROWS)
-    assert report["invalid_rows"] == expected_invalid
-    assert report["valid_rows"] + report["invalid_rows"] == report["total_rows"]
-    assert report["rows_with_known_fare_uplift"] == sum(1 for _, _, u in EDGE_ROWS if u)
-    assert report["failed_checks"]["fare_mismatch"] == sum(
-        1 for _, e, _ in EDGE_ROWS if e and "fare_mismatch" in e)
-    # every label in the report is a known rule, in rule order
-    order = rules.all_rule_labels()
-    keys = list(report["failed_checks"])
-    assert keys == sorted(keys, key=order.index)
-    assert all(v > 0 for v in report["failed_checks"].values())
-
-
-def test_rule_counts_include_zeros_and_match_labels(spark):
-    rows = [a_staged_row(**c) for c, _, _ in EDGE_ROWS]
-    df = staged_frame(spark, rows)
-    counts = {r["rule"]: r["rows"] for r in rules.rule_counts(df).collect()}
-    assert list(counts) == rules.all_rule_labels()
-    labelled = rules.label(df).collect()
-    for label, n in counts.items():
-        hits = sum(1 for r in labelled if r["validation_errors"] and label in r["validation_errors"].split(";"))
-        assert hits == n, label
-
-
-def test_rule_hits_one_row_per_fired_rule(spark):
-    df = staged_frame(spark, [a_staged_row(airline=None), a_staged_row()])
-    hits = [r["rule"] for r in rules.rule_hits(df).collect()]
-    assert hits == ["null_airline", "blank_airline"]
-    assert rules.rule_hits(df, "blank").count() == 1
-
-
-def test_labels_can_be_attached_by_id(spark):
-    staging = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, airline string")
-    labels = spark.createDataFrame([(1, True, None), (2, False, "null_source")],
-                                   "id long, is_valid boolean, validation_errors string")
-    out = {r["id"]: (r["is_valid"], r["validation_errors"])
-           for r in rules.apply_labels(staging, labels).collect()}
-    assert out == {1: (True, None), 2: (False, "null_source"), 3: (None, None)}
+def test_labelling_is_one_narrow_stage(frame):
+    assert "Exchange" not in plan_of(rules.label(frame))
