@@ -234,10 +234,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     body = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("body")).select("doc_id", *text_key(F.col("body")), "body")
     every = stored(signatures(body, size, bands, rows), "signatures")
-    one = every.where("n > 0").groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.first("set_key").alias("set_key"), F.first("bands").alias("bands"), F.first("n").alias("n"))
-    rowed = one.select("set_id", "set_key", "copies", "bands", "n", F.posexplode("bands").alias("band", "bucket"))
+    one = stored(every.where("n > 0").groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.first("set_key").alias("set_key"), F.first("bands").alias("bands"), F.first("n").alias("n")), "classes")
+    rowed = one.select("set_id", "n", F.posexplode("bands").alias("band", "bucket"))
     sizes = rowed.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")).where("classes > 1")
-    met = stored(rowed.join(sizes, "bucket").select("bucket", "set_id", "set_key", "copies", "bands", "band", "classes", "shingles"), "buckets")
+    met = rowed.join(sizes, "bucket").drop("n").join(one.drop("n"), "set_id")
+    met = stored(met.select("bucket", "set_id", "set_key", "copies", "bands", "band", "classes", "shingles"), "buckets")
     wanted = stored(met.select("set_id", "set_key").distinct(), "wanted")
     bits, packed = bit_map(wanted.select(F.col("set_key").alias("anchor")), wanted.count(), map_bits)
     sets = full_sets(body, bits, packed, size).groupBy("set_id").agg(F.first("shingles").alias("shingles"))

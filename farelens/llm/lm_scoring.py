@@ -78,11 +78,9 @@ def bigram_counts(docs: DataFrame, text_col: str, target_col: str, vocab: list[b
     rows = docs.select(F.col(text_col).cast("string").alias("text"), target_col).mapInArrow(run, "pair long, other long, target long")
     sums = rows.groupBy("pair").agg(F.sum("other").alias("other"), F.sum("target").alias("target"))
     out = np.zeros((2, size * size))
-    # at most (VOCABULARY + 2) ** 2 pairs, packed by blocks of neighbouring pairs
-    packed = sums.groupBy(F.shiftright("pair", 16).alias("block")).agg(F.collect_list(F.struct("pair", "other", "target")).alias("rows"))
-    for r in packed.select("rows").toLocalIterator():
-        x = np.array([(p.pair, p.other, p.target) for p in r.rows], "int64")
-        out[0, x[:, 0]], out[1, x[:, 0]] = x[:, 2], x[:, 1] + x[:, 2]
+    got = sums.toArrow()  # at most (VOCABULARY + 2) ** 2 rows
+    pair, other, mine = (got.column(k).to_numpy() for k in ("pair", "other", "target"))
+    out[0, pair], out[1, pair] = mine, other + mine
     return out[0].reshape(size, size), out[1].reshape(size, size)
 
 
