@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from farelens.plans.catalog import QUERIES, shared_frames  # noqa: E402
 from farelens.session import build_session  # noqa: E402
 
 
@@ -24,11 +24,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2)
     rows = []
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         times = []
         for i in range(4):
             t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            q(shared_frames(spark, sf_dir)).write.format("noop").mode("overwrite").save()
             if i:  # the first run is the warm-up
                 times.append(time.perf_counter() - t0)
         rows.append((name, statistics.median(times), min(times), max(times)))
