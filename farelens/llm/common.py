@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes to one space or, where they belong to a word, to the lower-case letter.
 LOWER_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -72,7 +73,13 @@ def per_text(docs: DataFrame, text_col: str, carry: list[str], schema: str, make
             column = b.column(0).flatten()[at] if inside else b.column(1)
             yield pa.RecordBatch.from_arrays([b.column(0), *f(column)], ["row", *names])
 
-    return frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, {schema}")
+    return frame.mapInArrow(run, with_row(frame, schema))
+
+
+def with_row(frame: DataFrame, schema: str) -> T.StructType:
+    """The ``row`` field of a frame and the fields of a DDL string. The type is
+    passed on as it is, as names inside a row need not be valid in DDL."""
+    return T.StructType([frame.schema["row"], *T.StructType.fromDDL(schema).fields])
 
 
 def fold(id_col: Column, folds: int) -> Column:

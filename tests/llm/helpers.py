@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 #: ``documents`` with columns whose names clash with those that operators use.
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
-CLASHING = ("score", "words", "n", "salt", "hash", "pos", "keep_id", "id", "span", "value", "row", "k")
+CLASHING = ("score", "words", "n", "salt", "hash", "pos", "keep_id", "id", "span", "value", "row", "k", "match", "spans", "k1", "body", "a b: c")
 
 
 def documents(spark, rows, clash=False, partitions=3):
