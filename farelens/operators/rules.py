@@ -177,7 +177,7 @@ def rule_bits(rs: list[Rule]) -> Column:
 def passes_all(rs: list[Rule]) -> Column:
     """Whether no rule fires, as a conjunction of the rules: a filter on it is
     split by Catalyst, and rules over one table's columns go below the joins."""
-    return functools.reduce(lambda a, b: a & b, [~r.predicate | r.predicate.isNull() for r in rs])
+    return functools.reduce(lambda a, b: a & b, [~fired(r) for r in rs])
 
 
 def has_bit(i: int) -> Column:
