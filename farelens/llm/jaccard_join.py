@@ -143,7 +143,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     keep = shared[column]
     of, column = of[keep], place[column[keep]]
     out = np.zeros((len(sets), len(sets)), "float32")
-    step = max(1, (1 << 22) // len(sets))
+    step = max(1, min(int(shared.sum()), (1 << 22) // len(sets)))
     order = np.argsort(column, kind="stable")
     of, column = of[order], column[order]
     for a in range(0, int(shared.sum()), step):
