@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, texts
+from .common import stored, table, texts, with_row
 from .fm_index import repeated_windows
 from .hashing import BETWEEN_SPACES, WordHasher, run_hashes, sliding_min
 
@@ -41,6 +41,8 @@ HOT_COUNT, HOT_SHARE = 2000, 100_000
 MAP_BITS = 28
 #: Bytes of text hashed at once, and words indexed at once, in a task.
 BLOCK_BYTES, BLOCK_WORDS = 2 << 20, 200_000
+#: Bytes of distinct segments that a task counts before it passes them on.
+COMBINE_BYTES = 32 << 20
 HOT = np.uint64(1 << 63)
 
 
@@ -136,7 +138,7 @@ def bit_map(repeated: DataFrame, rows: int, most: int) -> tuple[int, bytes]:
     own = F.shiftrightunsigned(F.col("anchor").bitwiseAND(F.lit((1 << bits) - 1)), low)
     parts = repeated.select("anchor", own.alias("part")).repartition("part").select("anchor").mapInArrow(pack, "part long, bits binary")
     out = bytearray(1 << (bits - 3))
-    for r in parts.toLocalIterator():  # together as large as the map
+    for r in parts.collect():  # together as large as the map
         out[r.part << (low - 3) : (r.part + 1) << (low - 3)] = r.bits
     return bits, bytes(out)
 
@@ -195,9 +197,38 @@ def search_block(segments: list[list[bytes]], counts: np.ndarray, window: int, d
     return out
 
 
-def search(distinct: DataFrame, window: int, depth: int) -> DataFrame:
+def combined(every: DataFrame) -> DataFrame:
+    """(anchor, segment, n): equal segments of a task counted together, so that
+    a text with very many copies sends one row from each task. A task holds
+    COMBINE_BYTES of segments at most before it passes them on."""
+    def run(batches):
+        def out():
+            keys = list(n)
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in keys], pa.int64()), pa.array([s for _, s in keys], pa.binary()), pa.array(list(n.values()), pa.int64())],
+                                              ["anchor", "segment", "n"])
+
+        n: dict = {}
+        size = 0
+        for b in batches:
+            for key in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if key in n:
+                    n[key] += 1
+                    continue
+                n[key] = 1
+                size += len(key[1]) + 200
+                if size > COMBINE_BYTES:
+                    yield out()
+                    n.clear()
+                    size = 0
+        if n:
+            yield out()
+
+    return every.select("anchor", "segment").mapInArrow(run, "anchor long, segment binary, n long")
+
+
+def search(segments: DataFrame, window: int, depth: int) -> DataFrame:
     """(anchor, s1, s2, spans) of the segments with any repeated window. Rows of
-    one anchor are neighbours in their task."""
+    one anchor meet in one task, side by side; equal segments are added up."""
     def run(batches):
         def rows():
             for b in batches:
@@ -210,17 +241,24 @@ def search(distinct: DataFrame, window: int, depth: int) -> DataFrame:
                 [*(pa.array([r[i] for r, _ in found], pa.int64()) for i in range(3)),
                  pa.array([s for _, s in found], pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())])))], ["anchor", "s1", "s2", "spans"])
 
-        block, n = [], 0
-        for r in rows():
-            if n >= BLOCK_WORDS and r[0] != block[-1][0]:
-                yield done(block)
-                block, n = [], 0
-            block.append(r)
-            n += r[4].count(b" ") + 2
+        block, n, at = [], 0, {}
+        for anchor, s1, s2, times, segment in rows():
+            if block and anchor != block[-1][0]:
+                at.clear()
+                if n >= BLOCK_WORDS:
+                    yield done(block)
+                    block, n = [], 0
+            if segment in at:
+                block[at[segment]][3] += times
+                continue
+            at[segment] = len(block)
+            block.append([anchor, s1, s2, times, segment])
+            n += segment.count(b" ") + 2
         if block:
             yield done(block)
 
-    ordered = distinct.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "s1", "s2", "n", "segment")
+    digest = [F.xxhash64("segment").alias("s1"), F.xxhash64(F.lit(7), "segment").alias("s2")]
+    ordered = segments.repartition("anchor").sortWithinPartitions("anchor").select("anchor", *digest, "n", "segment")
     return ordered.mapInArrow(run, "anchor long, s1 long, s2 long, spans array<struct<first:int,after:int>>")
 
 
@@ -235,12 +273,12 @@ def repeated_spans(body: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_
     bits, packed = bit_map(counts, rows, map_bits)
     every = stored(segment_rows(body, hot, bits, packed, window, gram), "segments")
     digest = [F.xxhash64("segment").alias("s1"), F.xxhash64(F.lit(7), "segment").alias("s2")]
-    distinct = every.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("n")).select("anchor", *digest, "n", "segment")
-    found = search(distinct, window, max(DEPTH, window + 1))
+    found = search(combined(every), window, max(DEPTH, window + 1))
     places = every.select("k1", "k2", "first", "anchor", *digest).distinct()
     spans = places.join(found, ["anchor", "s1", "s2"]).select("k1", "k2", F.transform("spans", lambda s: F.struct(
         (F.col("first") + s["first"]).alias("first"), (F.col("first") + s["after"]).alias("after"))).alias("spans"))
-    return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # Written, so that the join with the texts can split a text that is hot.
+    return stored(spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
 def cut(text: bytes | None, spans) -> tuple[int, int, bytes]:
@@ -271,7 +309,7 @@ def without_repeats(docs: DataFrame, carry: list[str], text_col: str = "text", *
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
                                               pa.array([x[2] for x in out], pa.binary()).cast(pa.string())], ["row", "n_words", "n_removed", "kept"])
 
-    return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(run, with_row(joined, "n_words long, n_removed long, kept string"))
 
 
 def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -52,6 +52,7 @@ def test_same_as_brute_force(spark, vocab, options):
 def test_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BLOCK_WORDS", 50)
     monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(substring_dedup, "COMBINE_BYTES", 1500)
     rows = made(random.Random(9), [f"w{k}" for k in range(90)])
     assert rows_of(substring_dedup.repeats_removed(documents(spark, rows))) == brute(rows)
 
