@@ -98,7 +98,8 @@ def train(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     """Both models. ``target`` has the ids of the target's documents."""
     vocab = vocabulary(docs, text_col, size)
     ids = target.select(F.col(id_col).alias("target_id")).where("target_id IS NOT NULL").distinct().withColumn("is_target", F.lit(True))
-    flagged = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(ids, F.col("id") == F.col("target_id"), "left")
+    # The target grows with the corpus, so it is never broadcast.
+    flagged = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(ids.hint("merge"), F.col("id") == F.col("target_id"), "left")
     a, b = bigram_counts(flagged.select("body", F.col("is_target").isNotNull().alias("is_target")), "body", "is_target", vocab)
     return {"ids": {w: i + 1 for i, w in enumerate(vocab)}, "target": losses(a), "background": losses(b)}
 
