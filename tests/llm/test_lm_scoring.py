@@ -68,3 +68,21 @@ def test_empty_tables(spark):
     assert [r.n_words for r in lm_scoring.scored(docs, lm_scoring.train(docs, none)).orderBy("doc_id").collect()] == [2, 0]
     empty = documents(spark, [])
     assert lm_scoring.scored(empty, lm_scoring.train(empty, none)).count() == 0
+
+
+def test_all_words_count(spark, monkeypatch):
+    """Rare words move a score, however many more frequent ones there are."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 700)
+    rows = [(k, " ".join(f"w{(k * 7 + j) % 2500} w{j}" for j in range(40))) for k in range(200)]
+    rows += [(500, "w1 w2 liked w3"), (501, "w1 w2 other w3"), (502, "w1 w2 liked w3"), (502, "w1 w2 liked w3")] + [(600 + k, " ".join(f"w{j}" for j in range(2500))) for k in range(2)]
+    docs = documents(spark, rows, clash=True)
+    target = spark.createDataFrame([(k,) for k in (1, 2, 3, 502)], IDS)
+    model = lm_scoring.train(docs, target)
+    want = brute(rows, {1, 2, 3, 502}, 10**9)
+    for got in (lm_scoring.scored(docs, model), lm_scoring.scored(documents(spark, rows, partitions=2), model)):
+        found = sorted(map(tuple, got.collect()), key=lambda r: str(r[:2]))
+        assert [r[:2] for r in found] == [r[:2] for r in want]
+        for a, b in zip(found, want, strict=True):
+            assert a[2:] == pytest.approx(b[2:], abs=1e-9)
+        score = {r[0]: r[4] for r in found}
+        assert score[500] < score[501] - 0.1
