@@ -1,9 +1,11 @@
 """License scans as an exact set-similarity join of templates and text blocks.
 
 A block is a line; a longer line is cut into overlapping blocks, so that every
-run of BLOCK_STEP words lies in one. A template is found where a block holds at
-least THRESHOLD of its distinct words. Words are ordered by their frequency in
-the whole corpus, rarest first. With overlap a = ceil(threshold * |T|):
+run of BLOCK_STEP words lies in one. As notices are wrapped, the whole text is
+cut in the same way without regard to lines, and blocks that hold a line break
+are looked at, too; their step is at least the longest template. A template is
+found where a block holds at least THRESHOLD of its distinct words. Words are
+ordered by their frequency in the whole corpus, rarest first. With overlap a = ceil(threshold * |T|):
 
 * prefix: T's first |T| - a + 1 words and the block's first |B| - a + 1 share a
   word, so only blocks that hold one of T's rarest words are looked at;
@@ -81,7 +83,8 @@ def compile_templates(templates: list[tuple[str, str]], counts: dict[str, int],
     for k, s in enumerate(sets):
         for i, w in enumerate(s[: len(s) - least[k] + 1]):
             index.setdefault(w, []).append((k, i))
-    return {"ids": ids, "sets": sets, "least": least, "index": index, "labels": [x for x, _ in templates]}
+    return {"ids": ids, "sets": sets, "least": least, "index": index, "labels": [x for x, _ in templates],
+            "step": max([BLOCK_STEP, *(len(words(t.encode())) for _, t in templates)])}
 
 
 def join_block(block: list[int], t: dict) -> list[tuple[int, int]]:
@@ -100,6 +103,16 @@ def join_block(block: list[int], t: dict) -> list[tuple[int, int]]:
     return [(k, n) for k, n in hits if n >= t["least"][k]]
 
 
+def wrapped(marks: np.ndarray, ends: np.ndarray, n: int, step: int) -> list[int]:
+    """Where the blocks of a text of ``n`` words (each of two steps) start that
+    hold one of the ``marks`` and words of more than one line, given where the
+    lines end."""
+    last = max(0, -(-(n - 2 * step) // step))
+    first = np.unique(np.clip((marks // step)[:, None] - np.arange(2), 0, last)) * step
+    after = np.minimum(first + 2 * step, n)
+    return first[np.searchsorted(ends, first, "right") != np.searchsorted(ends, after - 1, "right")].tolist()
+
+
 def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], prefix: np.ndarray) -> tuple:
     lines = [x.split() for x in text.translate(KEEP_LINES).split(b"\n")] if text else []
     flat = [w for x in lines for w in x]
@@ -114,6 +127,11 @@ def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], pref
             labels.add(label)
     at = np.concatenate(places) if places else ids[:0]
     found = []
+
+    def add(a, block):
+        for x, n in join_block([int(w) for w in np.unique(block) if 0 < w <= t["most"]], t):
+            found.append({"label": t["labels"][x], "first": a, "after": a + len(block), "containment": n / len(t["sets"][x])})
+
     marks = np.flatnonzero(prefix[ids])
     if len(marks):
         ends = np.cumsum([len(x) for x in lines])
@@ -121,8 +139,9 @@ def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], pref
             after, first = int(ends[k]), int(ends[k]) - len(lines[k])
             for a in range(first, max(first + 1, after - BLOCK_WORDS + BLOCK_STEP), BLOCK_STEP):
                 block = ids[a : min(a + BLOCK_WORDS, after)]
-                for x, n in join_block([int(w) for w in np.unique(block) if 0 < w <= t["most"]], t):
-                    found.append({"label": t["labels"][x], "first": a, "after": a + len(block), "containment": n / len(t["sets"][x])})
+                add(a, block)
+        for a in wrapped(marks, ends, len(ids), t["step"]):
+            add(a, ids[a : a + 2 * t["step"]])
     return len(flat), len(at), int(at.min()) if len(at) else None, int(at.max()) if len(at) else None, sorted(labels), found
 
 

@@ -68,3 +68,22 @@ def test_order_of_words_does_not_change_the_result():
 
 def test_empty_table(spark):
     assert license_join.scanned(documents(spark, [])).count() == 0
+
+
+def test_wrapped_notices(spark):
+    mit = ["Permission is hereby granted, free of charge, to any person obtaining a copy", 'of this software and associated documentation files (the "Software"), to deal']
+    bsd = ["# Redistribution and use in source and binary forms, with or without", "# modification, are permitted provided that the following conditions", "# are met:"]
+    mpl = ["This Source Code Form is subject to", "the terms of the Mozilla", "Public License, v. 2.0."]
+    rows = [(1, "\n".join(mit)), (2, "\r\n".join(["foo bar"] * 40 + bsd + ["foo"] * 90)), (3, "x " * 75 + "\n\n" + "\n".join(mpl) + " y" * 75), (4, "\n".join(mit[:1] + ["foo " * 70] + mit[1:]))]
+    rows += [(10 + k, "foo\n" * k + "\n".join(mit + ["bar"] * 100)) for k in range(64)]
+    got = as_dicts(license_join.scanned(documents(spark, rows)))
+    assert [got[k]["labels"] for k in (1, 2, 3, 4)] == ["mit", "bsd", "mpl", ""]
+    assert [got[k]["score"] for k in (1, 2, 3, 4)] == [1.0, 1.0, 1.0, 0.0]
+    assert {got[10 + k]["labels"] for k in range(64)} == {"mit"}
+
+
+def test_wrapped_template_longer_than_a_block(spark):
+    long = [f"w{k}" for k in range(90)]
+    rows = [(k, "x " * k + "\n".join(" ".join(long[i : i + 10]) for i in range(0, 90, 10)) + "\nfoo" * 50) for k in range(0, 200, 13)]
+    got = license_join.scanned(documents(spark, rows), templates=[("long", " ".join(long))]).collect()
+    assert {(r.labels, r.score) for r in got} == {("long", 1.0)}
