@@ -90,9 +90,11 @@ def fold(id_col: Column, folds: int) -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows: int, id_col: str, text_col: str) -> DataFrame:
     """(id, label, body) of at most ``rows`` labelled documents for which
     ``allowed`` holds. Rows without a label are left out; of several labels of
-    one id the largest counts."""
+    one id the largest counts, of several texts that with the largest SHA-256."""
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & allowed)
     known = known.groupBy(F.col(id_col).alias("label_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
-    return texts.join(F.broadcast(known), texts["id"] == known["label_id"]).select("id", "label", "body")
+    found = texts.join(F.broadcast(known), texts["id"] == known["label_id"])
+    one = F.max(F.struct(F.sha2(F.col("body").cast("binary"), 256).alias("digest"), "body"))["body"].alias("body")
+    return found.groupBy("id", "label").agg(one).select("id", "label", "body")

@@ -2,11 +2,11 @@ import zlib
 
 import numpy as np
 from farelens.llm import rule_ensemble
-from farelens.llm.common import fold
+from farelens.llm.common import fold, labelled
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .helpers import documents
+from .helpers import documents, sha
 
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
 
@@ -56,3 +56,10 @@ def test_held_out_accuracy(spark):
     rows = got.join(labels, "doc_id").select("score", "predicted", "quality").collect()
     right = np.mean([(r.score >= 0.5) == (r.quality == 1) for r in rows])
     assert len(rows) > 40 and right > 0.9
+
+
+def test_repeated_ids_are_one_labelled_row(spark):
+    docs = documents(spark, [(1, f"text {k % 3}") for k in range(30)] + [(2, None), (2, None), (3, "x")], clash=True)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0)], LABELS)
+    got = labelled(docs, labels, "quality", F.lit(True), 2, "doc_id", "text").collect()
+    assert sorted((r.id, r.label, r.body) for r in got) == [(1, 1, max((f"text {k}" for k in range(3)), key=sha)), (2, 1, "")]
