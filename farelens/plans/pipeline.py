@@ -64,6 +64,7 @@ class RunResult:
     load_summary: dict = field(default_factory=dict)
     completed_at: str | None = None
     unknown_seasons: list[str] = field(default_factory=list)
+    n_unknown_seasons: int = 0
 
 
 def _run_id(now: datetime) -> str:
@@ -144,14 +145,18 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, computed_at: datet
         return dict(pool.map(one, kpis.compute_all(fact).items()))
 
 
-def unknown_seasons(spark: SparkSession, out_dir: str, run_id: str, named: int = 20) -> list[str]:
+def unknown_seasons(spark: SparkSession, out_dir: str, run_id: str, named: int = 20) -> tuple[list[str], int]:
     """Warns of seasons of this run's fact that are neither peak nor baseline;
-    the first ``named`` of them by name."""
+    the first ``named`` of them by name, and how many there are."""
     fact = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
-    found = [r["seasonality"] for r in enrich.unknown_seasons(fact).orderBy("seasonality").limit(named).collect()]
-    if found:
+    every = enrich.unknown_seasons(fact)
+    found = [r["seasonality"] for r in every.orderBy("seasonality").limit(named).collect()]
+    n = len(found) if len(found) < named else every.count()
+    if n > len(found):
+        log.warning("Seasons counted as off-peak because they are not known: %s and %d more; the query unknown_seasons lists all", found, n - len(found))
+    elif found:
         log.warning("Seasons counted as off-peak because they are not known: %s", found)
-    return found
+    return found, n
 
 
 def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, int]:
@@ -210,4 +215,4 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     load_summary = {"source_file": name, "rows_loaded": report["total_rows"],
                     "ingested_at": now.isoformat()}
     done = datetime.now(timezone.utc).isoformat()
-    return RunResult(run_id, report, fact_summary, counts, timings, load_summary, done, seasons)
+    return RunResult(run_id, report, fact_summary, counts, timings, load_summary, done, *seasons)

@@ -85,6 +85,14 @@ def test_unknown_seasons_are_warned_of(spark, tmp_out, caplog):
     assert res.unknown_seasons == ["Harvest", "Monsoon"] and "Monsoon" in caplog.text
 
 
+def test_unknown_seasons_beyond_the_named_are_counted(spark, tmp_out, caplog):
+    rows = [good_values(), *[good_values(Seasonality=f"Season {k:02}") for k in range(23)]]
+    with caplog.at_level(logging.WARNING):
+        res = pipeline.run(spark, write_csv(os.path.join(tmp_out, "u.csv"), rows), os.path.join(tmp_out, "out"))
+    assert len(res.unknown_seasons) == 20 and res.n_unknown_seasons == 23
+    assert "3 more" in caplog.text and "query unknown_seasons" in caplog.text
+
+
 def test_rerun_gives_the_same_tables_and_keeps_the_old(spark, tmp_out):
     src, out = fares_csv(os.path.join(tmp_out, "fares.csv")), os.path.join(tmp_out, "out")
     read = lambda: sorted(map(str, sinks.read_current(spark, out, "kpi_average_fare_by_airline").drop("computed_at").collect()))
