@@ -278,7 +278,7 @@ def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
             learn(win[rows[k]], target[k], RATE / (1 + epoch))
     x = summary(scores(win), of, len(y))
     by = judge if len(set(y[judge])) == 2 else ~judge
-    return {"words": list(vocab), "p": p, "weights": calibrate(x[by], y[by])}
+    return {"words": list(vocab), "p": p, "weights": calibrate(x[by], y[by]), "judge": judge}
 
 
 class Scorer:
@@ -382,12 +382,36 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", allowed=None, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """A network fitted on at most ``rows`` labelled documents of each class."""
+    """A network fitted on at most ``rows`` labelled documents of each class, none
+    longer than TRAIN_CHARS, and calibrated on as many of every length, but not
+    on those that the network has learnt from."""
     allowed = F.lit(True) if allowed is None else allowed
     fit_for = docs.where(F.length(text_col) <= TRAIN_CHARS)
     parts = [labelled(fit_for, labels, label, allowed & (F.col(label) == v), rows, id_col, text_col) for v in (1, 0)]
     sample = sorted((r.label, r.id, r.body) for r in parts[0].union(parts[1]).collect())
-    return fit([words(t.encode()) for _, _, t in sample], np.array([x for x, _, _ in sample], "float64"))
+    model = fit([words(t.encode()) for _, _, t in sample], np.array([x for x, _, _ in sample], "float64"))
+    if "constant" in model:
+        return model
+    learnt = [i for (_, i, _), judge in zip(sample, model.pop("judge").tolist(), strict=True) if not judge]
+    parts = [labelled(docs, labels, label, allowed & (F.col(label) == v) & ~F.col(id_col).isin(learnt), rows, id_col, text_col) for v in (1, 0)]
+    seen = np.array(sorted(map(tuple, summaries(parts[0].union(parts[1]), model).collect()))).reshape(-1, 4)
+    if len(set(seen[:, 0])) == 2:
+        model["weights"] = calibrate(seen[:, 1:], seen[:, 0])
+    return model
+
+
+def summaries(known: DataFrame, model: dict) -> DataFrame:
+    """Label and summary of labelled documents, over all their windows; the
+    texts stay in the tasks."""
+    shared = known.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for b in batches:
+            x = scorer.raw([words(t) for t in texts(b.column(1))])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.float64()), *map(pa.array, x.T.astype("float64"))], ["label", "best", "top", "windows"])
+
+    return known.select("label", "body").mapInArrow(run, "label double, best double, top double, windows double")
 
 
 def scored(docs: DataFrame, model: dict, carry: list[str], text_col: str = "text") -> DataFrame:

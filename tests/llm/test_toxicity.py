@@ -99,3 +99,19 @@ def test_held_out_accuracy(spark):
     scorer = toxicity.Scorer(toxicity.fit([words(r.text.encode()) for r in learn], np.array([float(r.toxic) for r in learn])))
     score = scorer.score([words(r.text.encode()) for r in held])
     assert np.mean((score >= 0.5) == np.array([r.toxic == 1 for r in held])) > 0.85
+
+
+def test_calibration_sees_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 300)
+    rng = np.random.default_rng(5)
+    text = lambda k, n: " ".join([*(f"calm{j}" for j in rng.integers(0, 40, n)), *(["vile"] if k % 2 else []), *(f"calm{j}" for j in rng.integers(0, 40, n))])
+    rows = [(k, text(k, 10 if k < 200 else 600)) for k in range(240)]
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda x, y, f=toxicity.calibrate: seen.append((x, y)) or f(x, y))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(240)], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels)
+    x, y = seen[-1]
+    assert sorted(np.bincount(y[x[:, 2] > np.log1p(50)].astype(int))) == [20, 20]
+    assert (x[:, 2] < np.log1p(50)).sum() < 200  # of the short ones only those that the network has not seen
+    score = {r.doc_id: r.score for r in toxicity.toxicity(documents(spark, rows), model).collect()}
+    assert np.mean([(score[k] > 0.5) == (k % 2 == 1) for k in range(200, 240)]) > 0.9
