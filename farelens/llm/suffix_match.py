@@ -1,7 +1,7 @@
 """Benchmark decontamination over suffix arrays of the training text.
 
 Each task turns its documents, block by block, into one sequence of word ids and
-sorts its suffixes (prefix doubling, as deep as the longest benchmark item). A
+sorts its suffixes (prefix doubling, as deep as the longest window). A
 position whose next words are not all benchmark words can't start a match, so it
 is left out of the array: nothing that could be found is lost. Every benchmark
 suffix of at least one window is then binary-searched; the range of suffixes
@@ -33,22 +33,34 @@ RESULT = ("n_words long, spans array<struct<first:int,after:int>>, items array<s
 
 
 def compile_items(items: list[tuple[str, bytes]], window: int) -> dict:
-    """Word ids and all suffixes of at least one window, as one padded matrix."""
+    """Word ids of all items, 0 behind each, and the place, item, place in the
+    item and window of every suffix of at least one window."""
     vocab: dict[bytes, int] = {}
-    rows = []
+    names, flat, of, at, width, start, n = [], [np.zeros(0, "int32")], [], [], [], [], 0
     for name, text in items:
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words(text)]
         if ids:
-            rows.append((name, ids))
-    depth = max((len(ids) for _, ids in rows), default=0)
-    suffixes, of, at, width = [], [], [], []
-    for k, (_, ids) in enumerate(rows):
-        w = min(window, len(ids))
-        for i in range(len(ids) - w + 1):
-            suffixes.append(ids[i:] + [0] * (depth - len(ids) + i))
-            of.append(k), at.append(i), width.append(w)
-    return {"vocab": vocab, "names": [n for n, _ in rows], "suffixes": np.array(suffixes, "int32").reshape(-1, max(depth, 1)),
-            "of": np.array(of, "int64"), "at": np.array(at, "int64"), "width": np.array(width, "int64")}
+            w = min(window, len(ids))
+            places = np.arange(len(ids) - w + 1)
+            of.append(np.full(len(places), len(names))), at.append(places), start.append(n + places), width.append(np.full(len(places), w))
+            flat.append(np.array([*ids, 0], "int32"))
+            names.append(name)
+            n += len(ids) + 1
+    whole = {k: np.concatenate([np.zeros(0, "int64"), *x]) for k, x in (("of", of), ("at", at), ("start", start), ("width", width))}
+    return {"vocab": vocab, "names": names, "flat": np.concatenate(flat)} | whole
+
+
+def matched(seq: np.ndarray, place: np.ndarray, flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many words agree from each place of ``seq`` and start in ``flat`` on,
+    up to the 0 behind the item."""
+    length, open_, steps = np.zeros(len(place), "int64"), np.arange(len(place)), np.arange(16)
+    while len(open_):
+        there = seq[np.minimum((place + length)[open_, None] + steps, len(seq) - 1)]
+        item = flat[np.minimum((start + length)[open_, None] + steps, len(flat) - 1)]
+        same = (there == item) & (item > 0)
+        length[open_] += np.where(same.all(1), len(steps), (~same).argmax(1))
+        open_ = open_[same.all(1)]
+    return length
 
 
 def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
@@ -86,7 +98,7 @@ def find(seq: np.ndarray, items: dict) -> tuple[np.ndarray, np.ndarray, np.ndarr
     none = np.zeros(0, "int64")
     if not len(items["of"]):
         return none, none, none
-    least, depth = int(items["width"].min()), items["suffixes"].shape[1]
+    least, depth = int(items["width"].min()), int(items["width"].max()) + 1  # one more for the upper end of a range
     ends = np.flatnonzero(seq == 0)
     starts = np.concatenate(([0], ends[:-1] + 1))
     long = ends - starts >= least
@@ -100,7 +112,8 @@ def find(seq: np.ndarray, items: dict) -> tuple[np.ndarray, np.ndarray, np.ndarr
     sa = suffix_array(seq, depth)
     places, which, lengths = [], [], []
     for c in range(0, len(items["of"]), 4096):
-        q, width = items["suffixes"][c : c + 4096], items["width"][c : c + 4096, None]
+        start, width = items["start"][c : c + 4096], items["width"][c : c + 4096, None]
+        q = items["flat"][np.minimum(start[:, None] + np.arange(depth), len(items["flat"]) - 1)]
         inside = np.arange(depth) < width
         lo = first_not_below(seq, sa, np.where(inside, q, 0))
         hi = first_not_below(seq, sa, np.where(inside, q, np.iinfo("int32").max))
@@ -109,8 +122,7 @@ def find(seq: np.ndarray, items: dict) -> tuple[np.ndarray, np.ndarray, np.ndarr
         at = sa[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
         for b in range(0, len(of), 1 << 16):
             o, p = of[b : b + (1 << 16)], at[b : b + (1 << 16)]
-            same = (seq[np.minimum(p[:, None] + np.arange(depth), len(seq) - 1)] == q[o]) & (q[o] > 0)
-            places.append(kept[p]), which.append(o + c), lengths.append(np.where(same.all(1), depth, (~same).argmax(1)))
+            places.append(kept[p]), which.append(o + c), lengths.append(matched(seq, p, items["flat"], start[o]))
     if not places:
         return none, none, none
     return np.concatenate(places), np.concatenate(which), np.concatenate(lengths)

@@ -82,3 +82,13 @@ def test_suffix_array_is_sorted():
     sa = suffix_match.suffix_array(seq, 16)
     rows = [tuple(seq[i : i + 16]) for i in sa]
     assert rows == sorted(rows) and sorted(sa) == list(range(len(seq)))
+
+
+def test_a_long_item_costs_memory_by_its_length():
+    long = [f"w{k}".encode() for k in range(50_000)]
+    items = suffix_match.compile_items([("short", b"a b c"), ("long", b" ".join(long))], 10)
+    assert sum(x.nbytes for x in items.values() if isinstance(x, np.ndarray)) < 100 * len(long)
+    doc = [b"x"] * 7 + long[20_000:23_000] + [b"y"]
+    (n, spans, names, longest, item, item_at, at), = suffix_match.match_block([doc], items)
+    assert (n, spans, names, longest, item, at) == (3_008, [{"first": 7, "after": 3_007}], ["long"], 3_000, "long", 7)
+    assert long[item_at : item_at + longest] == doc[7:3_007]
