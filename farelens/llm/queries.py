@@ -12,6 +12,7 @@ from .rule_ensemble import op9_quality
 from .substring_dedup import op8_substring_dedup
 from .suffix_match import op4_decontamination
 from .toxicity import op7_toxicity
+from .url_filter import OP13_SQL, op13_url_filter
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -24,7 +25,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_url_filter": op13_url_filter,
 }
 ORACLES = {
     "op10_exact_dedup": OP10_SQL,
+    "op13_url_filter": OP13_SQL,
 }
