@@ -10,6 +10,7 @@ from .lm_scoring import op2_lm_scoring
 from .pii import op1_pii
 from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .rule_ensemble import op9_quality
+from .spelling import OP11_SQL, op11_spelling_variants
 from .substring_dedup import op8_substring_dedup
 from .suffix_match import op4_decontamination
 from .toxicity import op7_toxicity
@@ -26,11 +27,13 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_url_filter": op13_url_filter,
 }
 ORACLES = {
     "op10_exact_dedup": OP10_SQL,
+    "op11_spelling_variants": OP11_SQL,
     "op12_prefix_trie": OP12_SQL,
     "op13_url_filter": OP13_SQL,
 }
