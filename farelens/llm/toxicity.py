@@ -1,18 +1,23 @@
 """Toxicity with a bidirectional gated recurrent network in numpy.
 
 Every word enters as its own vector and the mean vector of its hashed character
-n-grams. A forward and a backward gated recurrent layer read windows of WINDOW
-words, each starting STRIDE words after the last, so all but the ends of a text
-are read twice; attention pools a window's states into one score. A text's score
-is a logistic fit on its highest window, the mean of its TOP highest (windows
-overlap, so they show whether it happens more than once) and their number.
-
-Only documents are labelled, so training is multiple-instance learning: first
-every window of a toxic document counts as toxic, then only those that the
-network itself finds so. It is fitted on the driver on a bounded sample of
-labelled rows (TRAIN_ROWS of each class, of at most TRAIN_CHARS characters, and
-FIRST_WINDOWS windows of the toxic ones at first);
-scoring runs in the tasks over all windows of all texts.
+n-grams. A forward and a backward gated recurrent layer read the text, in
+segments that start CONTEXT words early and end CONTEXT words late. Attention
+pools the states of every window of WINDOW words, one at each word, into a
+score: with running sums of the attention weights and the weighted states, all
+overlapping windows cost as much as reading the text once. A text's score is a
+logistic fit on its highest window and on the mean of the highest windows of its
+TOP highest bins (BIN neighbouring windows), which shows whether it happens more
+than once.
+
+Only documents are labelled, so training is multiple-instance learning. At first
+the windows with the words and n-grams that set toxic documents apart count as
+toxic, then those that the network itself finds so. It is fitted on the driver
+on a bounded sample of labelled rows of every length: TRAIN_ROWS of each class;
+a text over PASSAGES x PASSAGE words gives as many passages, evenly spread. For
+the logistic fit the sample is dealt into FOLDS; the tasks score every sampled
+text, whole, by a network that has not learnt from it. Both classes weigh as
+much as they have labels. Scoring runs in the tasks over all windows of all texts.
 """
 
 from __future__ import annotations
@@ -25,17 +30,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, labelled, per_text, table, texts, words
+from .common import LOWER_WORDS, fold, labelled, per_text, stored, table, texts
 
-WINDOW, STRIDE = 32, 16
+WINDOW, CONTEXT, SEGMENT, BIN = 32, 16, 96, 16
 HIDDEN, WORD_DIMS, CHAR_DIMS, VOCABULARY = 8, 12, 12, 20_000
-GRAMS, BUCKETS = (3, 4, 5, 6), 1 << 14
-TRAIN_ROWS, TRAIN_CHARS, FIRST_WINDOWS = 1000, 8_000, 8_000
-EPOCHS, BATCH, RATE = 3, 256, 0.01
-STEPS = 60
-TOP, JUDGE, CLEAN_WEIGHT = 6, 0.25, 3.0
-CACHED_WORDS = 200_000
-CHUNK = 4096
+GRAMS, BUCKETS = (3, 5), 1 << 14
+TRAIN_ROWS, PASSAGE, PASSAGES, FOLDS = 1000, 512, 16, 3
+#: In each epoch STEPS batches are learnt from.
+EPOCHS, BATCH, RATE, STEPS = 3, 256, 0.01, 50
+TOP = 6
+#: Standard deviations from which a word or n-gram counts as a sign at first.
+SURE = 5.0
+#: Raw score that a tenth of the toxic documents learnt from exceed.
+LEVEL = 8.0
+#: Words whose inputs a worker keeps; words scored at once; segments read at once.
+CACHED_WORDS, BLOCK_WORDS, CHUNK = 100_000, 1 << 16, 512
+#: Windows of a text that are scored at once (a multiple of SEGMENT).
+PIECE = 96 * 128
+PART_BYTES = 1 << 16
 THRESHOLD = 0.7
 #: Raw score of a text without words.
 NOTHING = -12.0
@@ -47,7 +59,8 @@ def grams_of(word: bytes) -> list[int]:
 
 
 def window_starts(n: int) -> range:
-    return range(0, max(1, n - STRIDE), STRIDE) if n else range(0)
+    """First words of all windows of a text; a short one is a window itself."""
+    return range(max(1, n - WINDOW + 1)) if n else range(0)
 
 
 def sigmoid(x):
@@ -112,46 +125,44 @@ def pooled(states: np.ndarray, mask: np.ndarray, p: dict) -> tuple[np.ndarray, n
     return context @ p["out"] + p["bias"][0], a, context
 
 
-def forward(x: np.ndarray, mask: np.ndarray, p: dict, keep: dict | None = None) -> np.ndarray:
-    """Raw scores of windows given their inputs as (steps, windows, dims)."""
+def forward(x: np.ndarray, mask: np.ndarray, p: dict, keep: dict | None = None, context: int = 0) -> np.ndarray:
+    """Raw scores of windows given their inputs as (steps, windows, dims), the
+    first and last ``context`` of which stand around the window."""
     kf, kb = ([], []) if keep is not None else (None, None)
-    f = recur(x @ p["f_in"] + p["f_bias"], p["f_state"], mask, kf)
-    b = recur((x @ p["b_in"] + p["b_bias"])[::-1], p["b_state"], mask[::-1], kb)[::-1]
+    end = len(x) - context
+    f = recur(x[:end] @ p["f_in"] + p["f_bias"], p["f_state"], mask[:end], kf)[context:]
+    b = recur((x[context:] @ p["b_in"] + p["b_bias"])[::-1], p["b_state"], mask[context:][::-1], kb)[context:][::-1]
     states = np.concatenate((f, b), 2)
-    score, a, context = pooled(states, mask, p)
+    score, a, pooled_ = pooled(states, mask[context:end], p)
     if keep is not None:
-        keep |= {"f": kf, "b": kb, "states": states, "a": a, "context": context}
+        keep |= {"f": kf, "b": kb, "states": states, "a": a, "context": pooled_}
     return score
 
 
-def gradients(x: np.ndarray, mask: np.ndarray, y: np.ndarray, p: dict) -> tuple[dict, np.ndarray]:
+def gradients(x: np.ndarray, mask: np.ndarray, y: np.ndarray, p: dict, context: int = 0) -> tuple[dict, np.ndarray]:
     """Of the mean cross-entropy: by parameter, and by input."""
     keep: dict = {}
-    d = ((sigmoid(forward(x, mask, p, keep)) - y) / len(y)).astype("float32")
+    d = ((sigmoid(forward(x, mask, p, keep, context)) - y) / len(y)).astype("float32")
     g = {"bias": d.sum(keepdims=True), "out": keep["context"].T @ d}
     d_context = d[:, None] * p["out"]
     d_a = (keep["states"] * d_context).sum(2)
     d_logit = keep["a"] * (d_a - (keep["a"] * d_a).sum(0))
     g["pool"] = np.tensordot(d_logit, keep["states"], 2)
     d_states = keep["a"][:, :, None] * d_context + d_logit[:, :, None] * p["pool"]
-    dx = np.zeros_like(x)
-    for way, part in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, None))):
+    dx, end = np.zeros_like(x), len(x) - context
+    for way, part, read in (("f", slice(0, HIDDEN), slice(0, end)), ("b", slice(HIDDEN, None), slice(context, None))):
         turn = (lambda v: v) if way == "f" else (lambda v: v[::-1])
-        d_gates, g[f"{way}_state"] = recur_back(turn(d_states[:, :, part]), p[f"{way}_state"], turn(mask), keep[way])
+        d_out = np.concatenate([np.zeros((context, *d_states.shape[1:2], HIDDEN), d_states.dtype), turn(d_states[:, :, part])])
+        d_gates, g[f"{way}_state"] = recur_back(d_out, p[f"{way}_state"], turn(mask[read]), keep[way])
         d_gates = turn(d_gates)
-        g[f"{way}_in"], g[f"{way}_bias"] = np.tensordot(x, d_gates, ((0, 1), (0, 1))), d_gates.sum((0, 1))
-        dx += d_gates @ p[f"{way}_in"].T
+        g[f"{way}_in"], g[f"{way}_bias"] = np.tensordot(x[read], d_gates, ((0, 1), (0, 1))), d_gates.sum((0, 1))
+        dx[read] += d_gates @ p[f"{way}_in"].T
     return g, dx
 
 
 def summed(size: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Rows added up by their index, as (size, dims)."""
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-    out = np.zeros((size, rows.shape[1]), "float32")
-    out[index[first]] = np.add.reduceat(rows[order], first)
-    return out
+    return np.stack([np.bincount(index, row, size) for row in rows.T], 1).astype("float32")
 
 
 class Adam:
@@ -177,20 +188,39 @@ def lookup(sample: list[list[bytes]], vocab: dict[bytes, int]) -> tuple[dict[byt
 
 
 def windows_of(docs: list[list[bytes]], place: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """All windows as word places, 0 behind a text's end, and whose they are."""
-    rows, of = [], []
+    """Windows at every BIN words with their context, as word places, 0 beyond
+    the text, and whose they are."""
+    rows, of, width = [], [], WINDOW + 2 * CONTEXT
     for k, d in enumerate(docs):
-        ids = np.fromiter((place[w] for w in d), "int64", len(d))
-        for s in window_starts(len(d)):
-            row = np.zeros(WINDOW, "int64")
-            row[: len(ids[s : s + WINDOW])] = ids[s : s + WINDOW]
-            rows.append(row), of.append(k)
-    return np.array(rows, "int64").reshape(-1, WINDOW), np.array(of, "int64")
+        starts = np.arange(0, max(1, len(d) - WINDOW + BIN), BIN) if d else np.zeros(0, "int64")
+        ids = np.zeros(len(d) + width + BIN, "int64")
+        ids[CONTEXT : CONTEXT + len(d)] = np.fromiter((place[w] for w in d), "int64", len(d))
+        rows.append(ids[starts[:, None] + np.arange(width)])
+        of.append(np.full(len(starts), k))
+    return np.concatenate([np.zeros((0, width), "int64"), *rows]), np.concatenate([np.zeros(0, "int64"), *of])
+
+
+def inside(rows: np.ndarray) -> np.ndarray:
+    """Which words of windows with context belong to the window."""
+    out = rows > 0
+    out[:, :CONTEXT] = out[:, CONTEXT + WINDOW :] = False
+    return out
+
+
+def evidence(of: np.ndarray, feature: np.ndarray, size: int, y: np.ndarray) -> np.ndarray:
+    """By feature, how many standard deviations more toxic documents than clean
+    ones hold it; (of, feature) are its occurrences."""
+    seen = np.unique(of * size + feature)
+    toxic, feature = y[seen // size] > 0, seen % size
+    t, c = np.bincount(feature[toxic], minlength=size), np.bincount(feature[~toxic], minlength=size)
+    n_t, n_c = max(1.0, float((y > 0).sum())), max(1.0, float((y <= 0).sum()))
+    share = (t + c + 1) / (n_t + n_c + 2)
+    return (t / n_t - c / n_c) / np.sqrt(share * (1 - share) * (1 / n_t + 1 / n_c))
 
 
 def summary(raw: np.ndarray, of: np.ndarray, docs: int) -> np.ndarray:
-    """Per document: the highest window, the mean of the TOP highest (missing
-    ones count as NOTHING) and the logarithm of the number of windows."""
+    """Per document, from its bins: the highest and the mean of the TOP highest
+    (missing ones count as NOTHING), and the logarithm of their number."""
     order = np.lexsort((-raw, of))
     raw, of = raw[order], of[order]
     n = np.bincount(of, minlength=docs)
@@ -203,25 +233,24 @@ def summary(raw: np.ndarray, of: np.ndarray, docs: int) -> np.ndarray:
     return out
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Weights of a logistic fit, the shift last (Newton steps, small ridge).
-    Clean rows, sampled more thinly than toxic ones, weigh CLEAN_WEIGHT."""
-    weight = np.where(y > 0, 1.0, CLEAN_WEIGHT)
-    a = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(a.shape[1]), np.full(a.shape[1], 0.05)
+def calibrate(x: np.ndarray, y: np.ndarray, clean: float = 1.0, toxic: float = 1.0) -> list[float]:
+    """Weights of a logistic fit on the first two features, the shift last
+    (Newton steps, small ridge); ``clean`` and ``toxic`` are what a row of each
+    class weighs. The number of windows gets no weight, so a long clean text
+    around a toxic passage does not hide it."""
+    weight = np.where(y > 0, toxic, clean)
+    a = np.hstack([x[:, :2], np.ones((len(x), 1))])
+    w, ridge = np.zeros(3), np.full(3, 0.05)
     for _ in range(40):
         q = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         hess = a.T @ (a * (weight * q * (1 - q))[:, None]) + np.diag(ridge)
         w = w - np.clip(np.linalg.solve(hess, a.T @ (weight * (q - y)) + ridge * w), -2, 2)
-    return w.tolist()
+    return [w[0], w[1], 0.0, w[2]]
 
 
-def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
-    """The network for documents (as words) and their labels. One class only, or
-    no words: a constant score, the share of ones."""
-    share = (float(y.sum()) + 0.5) / (len(y) + 1)
-    if len(y) == 0 or y.min() == y.max() or not any(sample):
-        return {"constant": share}
+def network(sample: list[list[bytes]], of_doc: np.ndarray, y: np.ndarray, seed: int) -> dict | None:
+    """The network fitted on passages (as words), their documents and the
+    documents' labels; None where only one class has windows."""
     count: dict[bytes, int] = {}
     for d in sample:
         for w in set(d):
@@ -229,20 +258,25 @@ def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
     vocab = {w: i + 1 for i, w in enumerate(sorted((w for w, n in count.items() if n > 1), key=lambda w: (-count[w], w))[:VOCABULARY])}
     place, ids, grams, starts = lookup(sample, vocab)
     win, of = windows_of(sample, place)
+    of = of_doc[of]
+    label = y[of].astype("float32")
+    toxic, clean = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    if not len(toxic) or not len(clean):
+        return None
     rng, p = np.random.default_rng(seed), initial(len(vocab), seed)
     adam = Adam(p)
     sizes = np.diff(np.append(starts, len(grams)))
 
     def inputs(rows):
         used, back = np.unique(rows, return_inverse=True)
-        flat = np.concatenate([grams[starts[u] : starts[u] + sizes[u]] for u in used])
-        first = np.cumsum(np.append(0, sizes[used][:-1]))
+        first = np.cumsum(sizes[used]) - sizes[used]
+        flat = grams[np.repeat(starts[used] - first, sizes[used]) + np.arange(sizes[used].sum())]
         vectors = np.hstack([p["word"][ids[used]], np.add.reduceat(p["char"][flat], first) / sizes[used][:, None]]).astype("float32")
         return vectors[back.reshape(rows.shape)].transpose(1, 0, 2), used, back.reshape(rows.shape), flat
 
     def learn(rows, labels, rate):
         x, used, back, flat = inputs(rows)
-        g, dx = gradients(x, (rows > 0).T.astype("float32"), labels, p)
+        g, dx = gradients(x, (rows > 0).T.astype("float32"), labels, p, CONTEXT)
         d = summed(len(used), back.ravel(), dx.transpose(1, 0, 2).reshape(-1, x.shape[2]))
         d[used == 0] = 0
         g["word"] = summed(len(p["word"]), ids[used], d[:, :WORD_DIMS])
@@ -251,38 +285,106 @@ def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
         adam.step(p, g, rate)
 
     def scores(rows):
-        return np.concatenate([forward(inputs(rows[i : i + CHUNK])[0], (rows[i : i + CHUNK] > 0).T.astype("float32"), p) for i in range(0, len(rows), CHUNK)])
-
-    label = y[of].astype("float32")
-    judge = rng.random(len(y)) < JUDGE  # documents that only the calibration sees
-    toxic = np.flatnonzero((label == 1) & ~judge[of])
-    clean = np.flatnonzero((label == 0) & ~judge[of])
-    if not len(toxic) or not len(clean):
-        return {"constant": share}
+        return np.concatenate([forward(inputs(r)[0], (r > 0).T.astype("float32"), p, None, CONTEXT) for r in np.split(rows, range(2048, len(rows), 2048))])
+
+    # what sets toxic documents apart: their words and n-grams
+    at, word = np.nonzero(inside(win))
+    word = win[at, word]
+    pairs = np.unique(of[at] * len(ids) + word)
+    doc, seen = pairs // len(ids), pairs % len(ids)
+    by_word = evidence(doc, seen, len(ids), y)
+    reps = sizes[seen]
+    by_gram = evidence(np.repeat(doc, reps), grams[np.repeat(starts[seen] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())], BUCKETS, y)
+    best_gram = np.maximum.reduceat(by_gram[grams], starts)
+    raw = np.full(len(win), -9.0)
+    np.maximum.at(raw, at, np.maximum(by_word, best_gram)[word] - SURE)
+    # the vectors start with that as their first entry
+    p["char"][:, 0] = np.tanh(by_gram / (2 * SURE))
+    np.maximum.at(p["word"][:, 0], ids[1:], np.tanh(by_word[1:] / (2 * SURE)).astype("float32"))
+    p["word"][0] = 0
     for epoch in range(EPOCHS):
-        if not epoch:
-            positive, hard = rng.choice(toxic, min(len(toxic), FIRST_WINDOWS), replace=False), np.zeros(0, "int64")
-        else:
-            raw, some = scores(win[toxic]), rng.choice(clean, min(len(clean), 2 * FIRST_WINDOWS), replace=False)
-            best = np.full(len(y), -np.inf)
-            np.maximum.at(best, of[toxic], raw)
-            positive = toxic[(raw >= best[of[toxic]] - 1.0) | (raw > 1)]
-            hard = some[np.argsort(-scores(win[some]), kind="stable")[: max(1, len(positive) // 2)]]
-        negative = np.concatenate([rng.choice(clean, min(len(clean), max(BATCH, len(positive))), replace=False), hard])
+        if epoch:
+            raw = scores(win)
+        best = np.full(len(y), -np.inf)
+        np.maximum.at(best, of, raw)
+        positive = toxic[(raw[toxic] >= best[of[toxic]] - 0.5) | (raw[toxic] > 1)]
+        hard = clean[np.argsort(-raw[clean], kind="stable")[: max(1, len(positive))]]
+        negative = np.concatenate([rng.choice(clean, min(len(clean), max(BATCH, 2 * len(positive))), replace=False), hard])
         rows = np.concatenate([positive, negative])
         target = np.concatenate([np.ones(len(positive)), np.zeros(len(negative))]).astype("float32")
-        passes = max(1, math.ceil(STEPS * BATCH / len(rows)))  # a small sample is read more than once
-        order = np.concatenate([rng.permutation(len(rows)) for _ in range(passes)])
+        passes = math.ceil(STEPS * BATCH / len(rows))  # a small sample is read more than once
+        order = np.concatenate([rng.permutation(len(rows)) for _ in range(passes)])[: STEPS * BATCH]
         for i in range(0, len(order), BATCH):
             k = order[i : i + BATCH]
             learn(win[rows[k]], target[k], RATE / (1 + epoch))
-    x = summary(scores(win), of, len(y))
-    by = judge if len(set(y[judge])) == 2 else ~judge
-    return {"words": list(vocab), "p": p, "weights": calibrate(x[by], y[by]), "judge": judge}
+    # networks of different folds meet on one scale: what toxic documents reach
+    best = np.full(len(y), -np.inf)
+    np.maximum.at(best, of[toxic], scores(win[toxic]))
+    level = LEVEL / max(float(np.quantile(best[best > -np.inf], 0.9)), 1.0)
+    p["out"] *= level
+    p["bias"] *= level
+    return {"words": list(vocab), "p": p}
+
+
+def dealt(n: int) -> np.ndarray:
+    """The fold of each sampled document."""
+    return np.random.default_rng(17).permutation(n) % FOLDS
+
+
+def networks(sample: list[list[bytes]], y: np.ndarray, of_doc: np.ndarray | None = None, seed: int = 3) -> tuple[dict, list[dict | None]]:
+    """The network of all documents, and for each fold one of the other folds'.
+    One class only, or no words: a constant score, the share of ones."""
+    of_doc = np.arange(len(sample)) if of_doc is None else of_doc
+    whole = network(sample, of_doc, y, seed) if any(sample) and len(set(y.tolist())) == 2 else None
+    if whole is None:
+        return {"constant": (float(y.sum()) + 0.5) / (len(y) + 1)}, []
+    folds = dealt(len(y))
+    others = []
+    for k in range(FOLDS):
+        keep = np.flatnonzero(folds[of_doc] != k)
+        others.append(network([sample[i] for i in keep], of_doc[keep], y, seed))
+    return whole, others
+
+
+def fit(sample: list[list[bytes]], y: np.ndarray, seed: int = 3) -> dict:
+    """The network for documents (as words) and their labels, calibrated."""
+    whole, others = networks(sample, y, None, seed)
+    if "constant" in whole:
+        return whole
+    x, folds = np.zeros((len(y), 3)), dealt(len(y))
+    for k, net in enumerate(others):
+        mine = np.flatnonzero(folds == k)
+        x[mine] = Scorer(net or whole).raw([sample[i] for i in mine])
+    return whole | {"weights": calibrate(x, y)}
+
+
+def parts(text: bytes | None, size: int):
+    """Words of a text as lists of about ``size`` bytes of it."""
+    clean = text.translate(LOWER_WORDS) if text else b""
+    at = 0
+    while at < len(clean):
+        end = clean.find(b" ", at + size)
+        end = len(clean) if end < 0 else end
+        yield clean[at:end].split()
+        at = end
+
+
+def pieces(doc):
+    """(words, first word that counts, number of windows) of parts of a text,
+    each with the words around it that its windows need. ``doc`` yields lists."""
+    held, start, more = [], 0, SEGMENT + CONTEXT  # the last windows end in the next segment
+    for part in doc:
+        held += part
+        while len(held) - start > PIECE + more:
+            yield held[max(0, start - CONTEXT) : start + PIECE + more], min(start, CONTEXT), PIECE
+            held, start = held[start + PIECE - CONTEXT :], CONTEXT
+    left = len(held) - start
+    if left >= WINDOW or (held and not start):
+        yield held[max(0, start - CONTEXT) :], min(start, CONTEXT), max(1, left - WINDOW + 1)
 
 
 class Scorer:
-    """Scores texts; the projected inputs of recent words are kept."""
+    """Scores texts; the projected inputs of frequent words are kept."""
 
     def __init__(self, model: dict):
         self.model = model
@@ -292,88 +394,82 @@ class Scorer:
         self.vocab = {w: i + 1 for i, w in enumerate(model["words"])}
         self.project = np.hstack([p["f_in"], p["b_in"]])
         self.shift = np.hstack([p["f_bias"], p["b_bias"]])
-        self.forget()
-
-    def forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.gates = np.zeros((CACHED_WORDS + 1, 6 * HIDDEN), "float32")
-        self.gates[0] = self.shift
-
-    def places(self, doc: list[bytes]) -> np.ndarray:
-        """Where the gates of each word are kept; missing ones are computed.
-        ``doc`` has at most CACHED_WORDS / 2 words."""
-        new = [w for w in dict.fromkeys(doc) if w not in self.place]
+        self.gates = np.zeros((0, 6 * HIDDEN), "float32")
+
+    def computed(self, new: list[bytes]) -> np.ndarray:
+        grams = [grams_of(w) for w in new]
+        sizes = np.array([len(g) for g in grams])
+        chars = np.add.reduceat(self.p["char"][np.concatenate(grams)], np.cumsum(sizes) - sizes) / sizes[:, None]
+        x = np.hstack([self.p["word"][[self.vocab.get(w, 0) for w in new]], chars]).astype("float32")
+        return x @ self.project + self.shift
+
+    def inputs(self, flat: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word in a table of gates, 0 being no word. The table is
+        what the worker keeps and, behind that, words it has no room for."""
+        new = [w for w in dict.fromkeys(flat) if w not in self.place]
+        table_, place = self.gates, self.place
         if new:
-            if len(self.place) + len(new) > CACHED_WORDS:
-                self.forget()
-                new = list(dict.fromkeys(doc))
-            grams = [grams_of(w) for w in new]
-            sizes = np.array([len(g) for g in grams])
-            chars = np.add.reduceat(self.p["char"][np.concatenate(grams)], np.cumsum(sizes) - sizes) / sizes[:, None]
-            x = np.hstack([self.p["word"][[self.vocab.get(w, 0) for w in new]], chars]).astype("float32")
-            first = len(self.place) + 1
-            self.gates[first : first + len(new)] = x @ self.project + self.shift
-            self.place.update(zip(new, range(first, first + len(new)), strict=True))
-        return np.fromiter(map(self.place.__getitem__, doc), "int64", len(doc))
-
-    def raw(self, docs: list[list[bytes]]) -> np.ndarray:
-        """The summary of every document's windows, which are scored as soon as
-        enough have gathered, across documents."""
-        gates, masks, of, n, seen = [], [], [], 0, []
-
-        def flush():
-            nonlocal gates, masks, of, n
-            if n:
-                g, mask = np.concatenate(gates, 1), np.concatenate(masks, 1)
-                f = recur(g[:, :, : 3 * HIDDEN], self.p["f_state"], mask)
-                b = recur(g[::-1, :, 3 * HIDDEN :], self.p["b_state"], mask[::-1])[::-1]
-                seen.append((np.concatenate(of), pooled(np.concatenate((f, b), 2), mask, self.p)[0]))
-            gates, masks, of, n = [], [], [], 0
-
-        step = CACHED_WORDS // 4 // STRIDE * STRIDE
-        pending: list[tuple[int, list[bytes]]] = []
-
-        def add():
-            flat = [w for _, part in pending for w in part]
-            ids = self.places(flat)
-            rows, owner, at = [], [], 0
-            for k, part in pending:
-                m = len(part)
-                own = np.zeros(m + WINDOW, "int64")
-                own[:m] = ids[at : at + m]
-                starts = np.array(window_starts(m))
-                rows.append(own[starts[:, None] + np.arange(WINDOW)])
-                owner.append(np.full(len(starts), k))
-                at += m
-            rows, owner = np.concatenate(rows), np.concatenate(owner)
-            nonlocal n
-            for i in range(0, len(rows), CHUNK):
-                part = rows[i : i + CHUNK]
-                gates.append(self.gates[part.T]), masks.append((part.T > 0).astype("float32")), of.append(owner[i : i + CHUNK])
-                n += len(part)
-                if n >= CHUNK // 2:
-                    flush()
-            pending.clear()
-
-        gathered = 0
+            room = max(0, CACHED_WORDS - len(place))
+            at = dict(zip(new, range(1 + len(place), 1 + len(place) + len(new)), strict=True))
+            gates = np.concatenate([table_ if len(table_) else self.shift[None], *[self.computed(new[i : i + 4096]) for i in range(0, len(new), 4096)]]).astype("float32")
+            ids = np.fromiter((at.get(w) or place[w] for w in flat), "int64", len(flat))
+            self.place.update((w, at[w]) for w in new[:room])
+            self.gates = gates[: 1 + len(self.place)] if room else table_
+            return ids, gates
+        return np.fromiter(map(place.__getitem__, flat), "int64", len(flat)), table_
+
+    def block(self, block: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Highest window of each bin, and whose it is, of pieces of texts."""
+        ids, gates = self.inputs([w for _, (held, _, _) in block for w in held])
+        width, pad = SEGMENT + 2 * CONTEXT, CONTEXT + SEGMENT
+        starts, at, layout, size = [], 0, [], 0
+        lengths = [len(held) for _, (held, _, _) in block]
+        flat = np.zeros(sum(lengths) + pad * (len(block) + 1) + width, "int64")
+        for (_, (held, first, n)), m in zip(block, lengths, strict=True):
+            base = size + pad
+            flat[base : base + m] = ids[at : at + m]
+            own = np.arange(base + first, base + min(m, first + n + WINDOW - 1), SEGMENT)
+            starts.append(own), layout.append((base + first, min(m - first, n + WINDOW - 1), n))
+            at, size = at + m, size + pad + m
+        starts = np.concatenate(starts)
+        weight, value = np.zeros(len(flat)), np.zeros(len(flat))
+        for i in range(0, len(starts), CHUNK):
+            some = starts[i : i + CHUNK]
+            where = (some[:, None] - CONTEXT + np.arange(width)).T
+            rows = flat[where]
+            mask = (rows > 0).astype("float32")
+            g = gates[rows]
+            f = recur(g[: CONTEXT + SEGMENT, :, : 3 * HIDDEN], self.p["f_state"], mask[: CONTEXT + SEGMENT])[CONTEXT:]
+            b = recur(g[: CONTEXT - 1 : -1, :, 3 * HIDDEN :], self.p["b_state"], mask[: CONTEXT - 1 : -1])[::-1][:SEGMENT]
+            states, here = np.concatenate((f, b), 2), where[CONTEXT : CONTEXT + SEGMENT]
+            e = np.exp(np.clip(states @ self.p["pool"], -30, 30)).astype("float64") * mask[CONTEXT : CONTEXT + SEGMENT]
+            weight[here], value[here] = e, e * (states @ self.p["out"])
+        highest, of = [], []
+        for (k, _), (base, m, n) in zip(block, layout, strict=True):
+            w, v = (np.concatenate(([0.0], np.cumsum(x[base : base + m]))) for x in (weight, value))
+            last = np.minimum(np.arange(n) + WINDOW, m)
+            raw = (v[last] - v[:n]) / (w[last] - w[:n]) + float(self.p["bias"][0])
+            highest.append(np.maximum.reduceat(raw, np.arange(0, n, BIN))), of.append(np.full(len(highest[-1]), k))
+        return np.concatenate(highest), np.concatenate(of)
+
+    def raw(self, docs: list) -> np.ndarray:
+        """The summary of every document: lists of words, or iterators over such
+        lists. At most about BLOCK_WORDS words are held at once."""
+        seen, block, n = [], [], 0
         for k, d in enumerate(docs):
-            # a long text is read in parts that overlap by what a window needs
-            for s in range(0, len(d), step):
-                part = d[s : s + step + STRIDE]
-                if s and len(part) <= STRIDE:
-                    continue  # the last part has read these words
-                pending.append((k, part))
-                gathered += len(part)
-                if gathered >= STRIDE * CHUNK // 2:
-                    add()
-                    gathered = 0
-        if pending:
-            add()
-        flush()
-        of, raw = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.zeros(0, "int64"), np.zeros(0))
+            for piece in pieces([d] if isinstance(d, list) else d):
+                block.append((k, piece))
+                n += len(piece[0])
+                if n >= BLOCK_WORDS:
+                    seen.append(self.block(block))
+                    block, n = [], 0
+        if block:
+            seen.append(self.block(block))
+        raw, of = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.zeros(0), np.zeros(0, "int64"))
         return summary(raw, of, len(docs))
 
-    def score(self, docs: list[list[bytes]]) -> np.ndarray:
+    def score(self, docs: list) -> np.ndarray:
         if "constant" in self.model:
             return np.full(len(docs), self.model["constant"])
         *weights, shift = self.model["weights"]
@@ -381,37 +477,64 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def passages(text: bytes | None) -> list[list[bytes]]:
+    """A text as passages of PASSAGE words: all of them, or PASSAGES evenly
+    spread ones. Words are counted first, so a long text is never held as words."""
+    n = sum(len(part) for part in parts(text, 1 << 20))
+    total = max(1, -(-n // PASSAGE))
+    keep = set(range(total)) if total <= PASSAGES else {k * total // PASSAGES for k in range(PASSAGES)}
+    out: dict[int, list[bytes]] = {}
+    at = 0
+    for part in parts(text, 1 << 20):
+        for k in range(at // PASSAGE, (at + len(part) - 1) // PASSAGE + 1) if part else ():
+            if k in keep:
+                out.setdefault(k, []).extend(part[max(0, k * PASSAGE - at) : max(0, (k + 1) * PASSAGE - at)])
+        at += len(part)
+    return [out[k] for k in sorted(out)]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", allowed=None, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """A network fitted on at most ``rows`` labelled documents of each class, none
-    longer than TRAIN_CHARS, and calibrated on as many of every length, but not
-    on those that the network has learnt from."""
+    """A network fitted on at most ``rows`` labelled documents of each class, of
+    every length, and calibrated on their whole texts by networks that have not
+    learnt from them. A class weighs as much as it has labels."""
     allowed = F.lit(True) if allowed is None else allowed
-    fit_for = docs.where(F.length(text_col) <= TRAIN_CHARS)
-    parts = [labelled(fit_for, labels, label, allowed & (F.col(label) == v), rows, id_col, text_col) for v in (1, 0)]
-    sample = sorted((r.label, r.id, r.body) for r in parts[0].union(parts[1]).collect())
-    model = fit([words(t.encode()) for _, _, t in sample], np.array([x for x, _, _ in sample], "float64"))
-    if "constant" in model:
-        return model
-    learnt = [i for (_, i, _), judge in zip(sample, model.pop("judge").tolist(), strict=True) if not judge]
-    parts = [labelled(docs, labels, label, allowed & (F.col(label) == v) & ~F.col(id_col).isin(learnt), rows, id_col, text_col) for v in (1, 0)]
-    seen = np.array(sorted(map(tuple, summaries(parts[0].union(parts[1]), model).collect()))).reshape(-1, 4)
-    if len(set(seen[:, 0])) == 2:
-        model["weights"] = calibrate(seen[:, 1:], seen[:, 0])
-    return model
-
-
-def summaries(known: DataFrame, model: dict) -> DataFrame:
-    """Label and summary of labelled documents, over all their windows; the
-    texts stay in the tasks."""
-    shared = known.sparkSession.sparkContext.broadcast(model)
+    chosen = [labelled(docs, labels, label, allowed & (F.col(label) == v), rows, id_col, text_col) for v in (1, 0)]
+    known = stored(chosen[0].unionByName(chosen[1]), "toxicity-sample")
+
+    def cut(batches):
+        for b in batches:
+            some = [[b" ".join(p).decode() for p in passages(t)] for t in texts(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(some, pa.list_(pa.string()))], ["id", "label", "some"])
+
+    id_type = known.schema["id"].dataType.simpleString()
+    sample = sorted(((r.label, r.id, r.some) for r in known.select("id", "label", "body").mapInArrow(cut, f"id {id_type}, label int, some array<string>").collect()), key=lambda r: r[:2])
+    y = np.array([x for x, _, _ in sample], "float64")
+    flat = [(k, p.encode().split()) for k, (_, _, some) in enumerate(sample) for p in some]
+    whole, others = networks([p for _, p in flat], y, np.array([k for k, _ in flat], "int64"))
+    if "constant" in whole:
+        return whole
+    folds = {r[1]: int(k) for r, k in zip(sample, dealt(len(y)), strict=True)}
+    seen = np.array(summaries(known, [net or whole for net in others], folds).collect())
+    n = {r["v"]: r["n"] for r in labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & allowed).groupBy((F.col(label) == 1).cast("int").alias("v")).agg(F.count_distinct(id_col).alias("n")).collect()}
+    sampled = np.bincount(seen[:, 0].astype(int), minlength=2)
+    weigh = [n.get(v, 0) / max(1, int(sampled[v])) for v in (0, 1)]
+    return whole | {"weights": calibrate(seen[:, 1:], seen[:, 0], *weigh)}
+
+
+def summaries(known: DataFrame, nets: list[dict], folds: dict) -> DataFrame:
+    """Label and summary of the sampled documents, over all windows of their
+    whole texts, by the network of their fold."""
+    shared = known.sparkSession.sparkContext.broadcast((nets, folds))
 
     def run(batches):
-        scorer = Scorer(shared.value)
+        nets, folds = shared.value
+        scorers = [Scorer(net) for net in nets]
         for b in batches:
-            x = scorer.raw([words(t) for t in texts(b.column(1))])
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.float64()), *map(pa.array, x.T.astype("float64"))], ["label", "best", "top", "windows"])
+            for name, label, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)), strict=True):
+                x = scorers[folds[name]].raw([parts(raw, PART_BYTES)])[0]
+                yield pa.RecordBatch.from_arrays([pa.array([float(label)]), *[pa.array([v]) for v in x.tolist()]], ["label", "best", "top", "windows"])
 
-    return known.select("label", "body").mapInArrow(run, "label double, best double, top double, windows double")
+    return known.select("id", "label", "body").mapInArrow(run, "label double, best double, top double, windows double")
 
 
 def scored(docs: DataFrame, model: dict, carry: list[str], text_col: str = "text") -> DataFrame:
@@ -422,7 +545,11 @@ def scored(docs: DataFrame, model: dict, carry: list[str], text_col: str = "text
         kept = shared.value  # a worker keeps it, and the words with it
         if "scorer" not in kept:
             kept["scorer"] = Scorer(kept["model"])
-        return lambda column: [pa.array(kept["scorer"].score([words(t) for t in texts(column)]), pa.float64())]
+
+        def read(text):  # one text at a time becomes words
+            yield from parts(text.as_py(), PART_BYTES)
+
+        return lambda column: [pa.array(kept["scorer"].score([read(t) for t in column.cast(pa.binary())]), pa.float64())]
 
     return per_text(docs, text_col, carry, "score double", make)
 

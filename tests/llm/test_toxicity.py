@@ -67,8 +67,10 @@ def test_score_does_not_depend_on_neighbours(model, monkeypatch):
     together = toxicity.Scorer(model).score(docs)
     alone = [toxicity.Scorer(model).score([d])[0] for d in docs]
     assert np.allclose(together, alone, atol=1e-5)
-    monkeypatch.setattr(toxicity, "CACHED_WORDS", 1600)  # long texts in parts, cache started anew
-    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 100)  # few words kept, long texts in pieces, small blocks
+    monkeypatch.setattr(toxicity, "CHUNK", 5)
+    monkeypatch.setattr(toxicity, "PIECE", 96)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 300)
     small = toxicity.Scorer(model)
     assert np.allclose(small.score(docs), alone, atol=1e-5)
 
@@ -101,17 +103,56 @@ def test_held_out_accuracy(spark):
     assert np.mean((score >= 0.5) == np.array([r.toxic == 1 for r in held])) > 0.85
 
 
-def test_calibration_sees_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 300)
+def test_calibration_sees_texts_of_every_length(spark, monkeypatch):
     rng = np.random.default_rng(5)
     text = lambda k, n: " ".join([*(f"calm{j}" for j in rng.integers(0, 40, n)), *(["vile"] if k % 2 else []), *(f"calm{j}" for j in rng.integers(0, 40, n))])
     rows = [(k, text(k, 10 if k < 200 else 600)) for k in range(240)]
     seen = []
-    monkeypatch.setattr(toxicity, "calibrate", lambda x, y, f=toxicity.calibrate: seen.append((x, y)) or f(x, y))
+    monkeypatch.setattr(toxicity, "calibrate", lambda x, y, *w, f=toxicity.calibrate: seen.append((x, y)) or f(x, y, *w))
     labels = spark.createDataFrame([(k, k % 2) for k in range(240)], "doc_id long, toxic int")
     model = toxicity.train(documents(spark, rows), labels)
     x, y = seen[-1]
     assert sorted(np.bincount(y[x[:, 2] > np.log1p(50)].astype(int))) == [20, 20]
-    assert (x[:, 2] < np.log1p(50)).sum() < 200  # of the short ones only those that the network has not seen
+    assert len(y) == 240  # every label counts, by a network that has not seen it
     score = {r.doc_id: r.score for r in toxicity.toxicity(documents(spark, rows), model).collect()}
     assert np.mean([(score[k] > 0.5) == (k % 2 == 1) for k in range(200, 240)]) > 0.9
+
+
+def test_every_window_is_scored(model):
+    """Against each window read with the words that its segments read."""
+    rng = np.random.default_rng(7)
+    doc = [f"w{x}".encode() for x in rng.integers(0, 300, 230)]
+    doc[100] = doc[160] = b"vilestem"
+    scorer, p, c = toxicity.Scorer(model), model["p"], toxicity.CONTEXT
+    gates = np.array([scorer.computed([w])[0] for w in doc], "float32")
+    states = np.zeros((len(doc), 2 * toxicity.HIDDEN), "float32")
+    for s in range(0, len(doc), toxicity.SEGMENT):
+        first, end = max(0, s - c), min(len(doc), s + toxicity.SEGMENT + c)
+        own = slice(s, min(len(doc), s + toxicity.SEGMENT))
+        one = lambda g, state: toxicity.recur(g[:, None], state, np.ones((len(g), 1), "float32"))[:, 0]
+        states[own, : toxicity.HIDDEN] = one(gates[first : own.stop, : 3 * toxicity.HIDDEN], p["f_state"])[s - first :]
+        states[own, toxicity.HIDDEN :] = one(gates[s:end][::-1, 3 * toxicity.HIDDEN :], p["b_state"])[::-1][: own.stop - s]
+    a = np.exp(states @ p["pool"])
+    raw = [float((a[s : s + 32] * (states[s : s + 32] @ p["out"])).sum() / a[s : s + 32].sum() + p["bias"][0]) for s in toxicity.window_starts(len(doc))]
+    bins = [max(raw[i : i + toxicity.BIN]) for i in range(0, len(raw), toxicity.BIN)]
+    want = toxicity.summary(np.array(bins), np.zeros(len(bins), "int64"), 1)
+    assert np.allclose(scorer.raw([doc]), want, atol=1e-4)
+
+
+def test_passage_in_a_long_clean_text(model):
+    rng, scorer = np.random.default_rng(2), toxicity.Scorer(model)
+    clean = rng.choice([f"w{k}".encode() for k in range(300)], 5080).tolist()
+    toxic = [b"grubby", *clean[:10], b"vilestema", b"vilestem", *clean[10:20]]
+    short, long = scorer.score([[*clean[:40], *toxic, *clean[40:80]], [*clean[:2500], *toxic, *clean[2500:]]])
+    assert short >= 0.7 and long >= 0.7
+
+
+def test_parts_and_passages():
+    text = b"  ".join(f"Word{k}".encode() for k in range(20_000))
+    whole = words(text)
+    for size in (1, 50, 4096):
+        assert [w for part in toxicity.parts(text, size) for w in part] == whole
+    assert [w for p in toxicity.passages(text[:3000]) for w in p] == words(text[:3000])
+    some = toxicity.passages(text)
+    assert len(some) == toxicity.PASSAGES and all(p == whole[int(p[0][4:]) :][: len(p)] and len(p) == toxicity.PASSAGE for p in some)
+    assert toxicity.passages(None) == toxicity.passages(b"") == []
