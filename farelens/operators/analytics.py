@@ -210,36 +210,27 @@ def distinct_counts(df: DataFrame, distinct: dict[str, tuple[str, ...]], sums: d
     ``distinct`` names column tuples whose distinct values without a NULL are
     counted, ``sums`` aggregates that add up, ``latest`` aggregates that take a
     maximum, all by ``by``. The rows are reduced once, to one for each
-    combination of the columns that occurs; the counts come from that small
-    result, so no row of ``df`` is copied for each distinct count.
+    combination of the columns that occurs; the distinct counts come from that
+    small result, so no row of ``df`` is copied for each of them.
     """
     latest = latest or {}
     columns = list(dict.fromkeys(c for t in distinct.values() for c in t))
     groups = df.groupBy(*by, *columns).agg(*[a.alias(k) for k, a in {**sums, **latest}.items()])
-    # NULL in any part makes the whole value NULL, which isn't counted.
-    value = lambda cols: F.when(functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]), F.to_json(F.struct(*cols)))
-    kinds = F.array(F.struct(F.lit("").alias("kind"), F.lit(None).cast("string").alias("value")),
-                    *[F.struct(F.lit(k).alias("kind"), value(cols).alias("value")) for k, cols in distinct.items()])
+    # For each count a copy of the small result that keeps only its own columns,
+    # and one that keeps none, for the sums.
+    of = lambda kind, cols: F.struct(F.lit(kind).alias("kind"), *[(F.col(c) if c in cols else F.lit(None)).cast(groups.schema[c].dataType).alias(f"of_{c}") for c in columns])
+    kinds = F.array(of(-1, ()), *[of(i, cols) for i, cols in enumerate(distinct.values())])
     each = groups.select(*by, *sums, *latest, F.inline(kinds))
-    each = each.groupBy(*by, "kind", "value").agg(*[F.sum(k).alias(k) for k in sums], *[F.max(k).alias(k) for k in latest])
-    whole = F.col("kind") == ""
+    each = each.groupBy(*by, "kind", *[f"of_{c}" for c in columns]).agg(*[F.sum(k).alias(k) for k in sums], *[F.max(k).alias(k) for k in latest])
+    whole = F.col("kind") == -1
+    known = lambda cols: functools.reduce(lambda a, b: a & b, [F.col(f"of_{c}").isNotNull() for c in cols])
     return each.groupBy(*by).agg(
         *[F.coalesce(F.sum(F.when(whole, F.col(k))), F.lit(0)).alias(k) for k in sums],
         *[F.max(F.when(whole, F.col(k))).alias(k) for k in latest],
-        *[F.count_if((F.col("kind") == k) & F.col("value").isNotNull()).alias(k) for k in distinct],
+        *[F.count_if((F.col("kind") == i) & known(cols)).alias(k) for i, (k, cols) in enumerate(distinct.items())],
     )
 
 
-def reconciled(fact: DataFrame) -> DataFrame:
-    """``reconciliation`` of a fact table with the KPIs that it would give: both
-    KPIs and the fact's numbers come from one aggregate by airline."""
-    by_airline = fact.groupBy("airline").agg(F.count(F.lit(1)).alias("n"))
-    named = F.col("airline").isNotNull()
-    n = by_airline.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sum(F.when(named, F.col("n"))).alias("booked"), F.count_if(named).alias("airlines"))
-    lines = (("fact rows", "rows"), ("sum of KPI bookings", "booked"), ("sum of KPI flights", "booked"), ("distinct fact airlines", "airlines"), ("KPI airline rows", "airlines"))
-    return n.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("string").alias("value")) for m, c in lines])))
-
-
 def reconciliation(fact: DataFrame, booking_kpi: DataFrame, fare_kpi: DataFrame) -> DataFrame:
     """Fact and KPI totals side by side as (metric, value-as-text) rows.
 

@@ -9,6 +9,7 @@ can be compared with an independent SQL engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,17 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelens.model import (
-    FACT_TABLE,
     KPI_AVERAGE_FARE_TABLE,
     KPI_BOOKING_COUNT_TABLE,
     KPI_POPULAR_ROUTES_TABLE,
     KPI_SEASONAL_VARIATION_TABLE,
+    KPI_TABLES,
     NUMERIC_COLUMNS,
     STAGED_TYPES,
     TEXT_COLUMNS,
-    TOP_N_ROUTES,
 )
 from farelens.operators import analytics, enrich, inspect, kpis, rules
+from farelens.plans import pipeline, sinks
 from farelens.sources.csv import map_columns
 from farelens.sources.mapping import TEXT_TIME_FORMAT, raw_from_tpch, text_from_tpch
 from farelens.sources.staging import conform, raw_column_name, stage
@@ -86,15 +87,27 @@ def _top_routes(n: int) -> Callable[[Frames], DataFrame]:
     return lambda fr: kpis.popular_routes(fr.fact, n)
 
 
+def _loaded(fr: Frames) -> tuple[SparkSession, str]:
+    """The fact and its KPIs written as the run writes them, to the shared
+    folder; each call writes its own tables."""
+    spark = fr.fact.sparkSession
+    return spark, pipeline.load_tables(fr.fact, f"{sinks.scratch_dir(spark)}/loaded-{uuid.uuid4().hex}", "v1", MAPPED_INGEST_TIME)
+
+
 def row_counts(fr: Frames) -> DataFrame:
-    """Rows of the fact table and of the KPI tables it gives, in one pass."""
-    keys = {KPI_AVERAGE_FARE_TABLE: ("airline",), KPI_SEASONAL_VARIATION_TABLE: ("seasonality",),
-            KPI_POPULAR_ROUTES_TABLE: ("route", "source", "destination")}
-    n = analytics.distinct_counts(fr.fact, keys, {FACT_TABLE: F.count(F.lit(1))})
-    rows = {t: F.col(t) for t in (FACT_TABLE, KPI_AVERAGE_FARE_TABLE, KPI_SEASONAL_VARIATION_TABLE)}
-    rows[KPI_BOOKING_COUNT_TABLE] = F.col(KPI_AVERAGE_FARE_TABLE)
-    rows[KPI_POPULAR_ROUTES_TABLE] = F.least(F.col(KPI_POPULAR_ROUTES_TABLE), F.lit(TOP_N_ROUTES))
-    return n.select(F.inline(F.array(*[F.struct(F.lit(t).alias("table_name"), c.cast("long").alias("rows")) for t, c in rows.items()])))
+    """Rows of the stored fact and KPI tables, counted from storage."""
+    return pipeline.stored_row_counts(*_loaded(fr))
+
+
+def reconciliation(fr: Frames) -> DataFrame:
+    """Fact and KPI totals side by side, from the stored tables."""
+    return pipeline.stored_reconciliation(*_loaded(fr))
+
+
+def compute_all(fr: Frames) -> DataFrame:
+    """The four stored KPI tables as one."""
+    spark, out = _loaded(fr)
+    return kpis.stacked({t: sinks.read_current(spark, out, t) for t in KPI_TABLES})
 
 
 def fact_summary(fr: Frames) -> DataFrame:
@@ -140,6 +153,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "kpi_booking_count": lambda fr: kpis.booking_count_by_airline(fr.fact),
     "kpi_popular_routes": _top_routes(20),
     "kpi_popular_routes_top5": _top_routes(5),
+    "compute_all": compute_all,
     # staging inspection
     "staging_verdict": lambda fr: inspect.staging_verdict(fr.labelled),
     "failure_signatures": lambda fr: inspect.failure_signatures(fr.labelled),
@@ -161,7 +175,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "route_airline_spread": lambda fr: analytics.route_airline_spread(fr.fact),
     "stopovers": lambda fr: analytics.stopovers(fr.fact),
     "fact_provenance": lambda fr: analytics.fact_provenance(fr.fact),
-    "reconciliation": lambda fr: analytics.reconciled(fr.fact),
+    "reconciliation": reconciliation,
     # load checks
     "row_counts": row_counts,
     "fact_summary": fact_summary,

@@ -324,6 +324,15 @@ def _row_counts() -> str:
     return "\nunion all\n".join(parts)
 
 
+def _compute_all() -> str:
+    parts = (("kpi_average_fare_by_airline", _kpi_average_fare(), "airline", "flight_count", "average_total_fare", "max_total_fare"),
+             ("kpi_seasonal_fare_variation", _kpi_seasonal(), "seasonality", "flight_count", "average_total_fare", "variation_vs_baseline_pct"),
+             ("kpi_booking_count_by_airline", _kpi_booking(), "airline", "booking_count", "cast(null as double)", "booking_share_pct"),
+             ("kpi_popular_routes", _kpi_routes(20), "route", "booking_count", "average_total_fare", "cast(rank_position as double)"))
+    return "\nunion all\n".join(
+        f"select '{t}' as kpi, {name} as name, cast({n} as bigint) as rows_counted, {mean} as average_total_fare, {own} as figure from ({q}) k" for t, q, name, n, mean, own in parts)
+
+
 # The same rows with the defects that only text can have, typed again.
 _RAW = {"base_fare_bdt": "case d when 41 then 'abc' when 42 then '1.0d' end", "tax_surcharge_bdt": "case d when 44 then '12,5' end",
         "total_fare_bdt": "case d when 45 then 'x1' end", "duration_hrs": "case d when 46 then '1.5f' end"}
@@ -440,6 +449,7 @@ from fact group by stopovers""",
 from fact group by _source_file""",
     "reconciliation": _reconciliation(),
     "row_counts": _row_counts(),
+    "compute_all": _compute_all(),
     "fact_summary": """select f.*, s.staged_rows, s.excluded_invalid_rows from
 (select count(*) as fact_rows_loaded, count(*) filter (where has_fare_uplift) as rows_with_fare_uplift,
         count(distinct airline) as distinct_airlines, count(distinct route) as distinct_routes from fact) f

@@ -8,11 +8,14 @@ a recomputation within one stage, never a replay of the whole run.
   write (no second scan);
 * the report is written before the gate, so a failing run keeps its evidence;
 * fact: reads only the ``is_valid=true`` folder, cleans and enriches;
-* KPIs: each reads only the fact columns it needs.
+* KPIs: one scan of the fact gives a small table of counts, sums, minima and
+  maxima by the KPIs' keys; the four KPIs, the distinct counts of the summary
+  and the unknown seasons come from that table.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
 import time
@@ -50,6 +53,8 @@ KPI_KEYS = {
     KPI_BOOKING_COUNT_TABLE: ("airline",),
     KPI_POPULAR_ROUTES_TABLE: ("route",),
 }
+#: Not an analytics table: what the KPIs are put together from.
+KPI_BASE = "kpi_base"
 FACT_NOT_NULL = ("airline", "source", "destination", "base_fare_bdt", "tax_surcharge_bdt",
                  "total_fare_bdt", "_loaded_at")
 
@@ -97,41 +102,54 @@ def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | N
     }
 
 
-def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetime,
-              report: dict) -> dict:
-    # This run's own versions are read by path; readers outside the run follow
-    # the version log.
-    valid = tables.read_staging(spark, sinks.version_path(out_dir, STAGING_TABLE, run_id), valid_only=True)
-    fact = enrich.transform(valid).withColumns({
+def publish_fact(fact: DataFrame, out_dir: str, run_id: str, loaded_at: datetime) -> dict:
+    """Fact rows written and published with their load stamp and id."""
+    stamped = fact.withColumns({
         "_loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),
         "id": F.monotonically_increasing_id(),
     })
-    observed = sinks.publish(
-        fact, out_dir, FACT_TABLE, run_id, schema=FACT_SCHEMA, not_null=FACT_NOT_NULL,
+    return sinks.publish(
+        stamped, out_dir, FACT_TABLE, run_id, schema=FACT_SCHEMA, not_null=FACT_NOT_NULL,
         observe=[F.count_if(F.col("has_fare_uplift")).alias("uplift_rows")],
     )
-    written = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
-    distinct = analytics.distinct_counts(written, {"a": ("airline",), "r": ("route",)}, {"n": F.count(F.lit(1))}).first()
+
+
+def load_fact(spark: SparkSession, out_dir: str, run_id: str, loaded_at: datetime,
+              report: dict) -> dict:
+    # This run's own versions are read by path; readers outside the run follow
+    # the version log.
+    valid = tables.read_staging(spark, sinks.version_path(out_dir, STAGING_TABLE, run_id), valid_only=True)
+    observed = publish_fact(enrich.transform(valid), out_dir, run_id, loaded_at)
     return {
         "fact_rows_loaded": observed["_rows"],
         "staged_rows": report["total_rows"],
         "excluded_invalid_rows": report["invalid_rows"],
         "rows_with_fare_uplift": observed["uplift_rows"],
-        "distinct_airlines": distinct["a"],
-        "distinct_routes": distinct["r"],
     }
 
 
+def load_kpi_base(spark: SparkSession, out_dir: str, run_id: str) -> DataFrame:
+    """``kpis.base`` of this run's fact, written once: the only scan of the fact
+    that the KPIs need. It has a row for each combination of keys that occurs."""
+    path = sinks.version_path(out_dir, KPI_BASE, run_id)
+    kpis.base(spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def distinct_summary(base: DataFrame) -> dict:
+    return base.agg(F.count_distinct("airline").alias("distinct_airlines"), F.count_distinct("route").alias("distinct_routes")).first().asDict()
+
+
 def load_kpis(spark: SparkSession, out_dir: str, run_id: str, computed_at: datetime,
-              parallel: int = 4) -> dict[str, int]:
+              parallel: int = 4, base: DataFrame | None = None) -> dict[str, int]:
     """Compute and publish the four KPI tables as independent concurrent jobs.
 
-    Each reads only its columns of the stored fact table. A KPI table has one
-    row per group (airlines, seasons, top routes), so it is written as one file:
+    All read the stored ``kpis.base``, not the fact. A KPI table has one row per
+    group (airlines, seasons, top routes), so it is written as one file:
     ``repartition(1)`` after the final aggregate moves only those rows, where
     ``coalesce(1)`` would pull the final aggregation itself into one task.
     """
-    fact = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
+    base = load_kpi_base(spark, out_dir, run_id) if base is None else base
 
     def one(item):
         table, frame = item
@@ -142,14 +160,20 @@ def load_kpis(spark: SparkSession, out_dir: str, run_id: str, computed_at: datet
         return table, metrics["_rows"]
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return dict(pool.map(one, kpis.compute_all(fact).items()))
+        return dict(pool.map(one, kpis.compute_all(base).items()))
+
+
+def load_tables(fact: DataFrame, out_dir: str, run_id: str, stamp: datetime) -> str:
+    """Fact rows and their KPIs as published tables under ``out_dir``."""
+    publish_fact(fact, out_dir, run_id, stamp)
+    load_kpis(fact.sparkSession, out_dir, run_id, stamp)
+    return out_dir
 
 
-def unknown_seasons(spark: SparkSession, out_dir: str, run_id: str, named: int = 20) -> tuple[list[str], int]:
-    """Warns of seasons of this run's fact that are neither peak nor baseline;
-    the first ``named`` of them by name, and how many there are."""
-    fact = spark.read.parquet(sinks.version_path(out_dir, FACT_TABLE, run_id))
-    every = enrich.unknown_seasons(fact)
+def unknown_seasons(rows: DataFrame, named: int = 20) -> tuple[list[str], int]:
+    """Warns of seasons of fact or KPI base rows that are neither peak nor
+    baseline; the first ``named`` of them by name, and how many there are."""
+    every = enrich.unknown_seasons(rows)
     found = [r["seasonality"] for r in every.orderBy("seasonality").limit(named).collect()]
     n = len(found) if len(found) < named else every.count()
     if n > len(found):
@@ -159,21 +183,33 @@ def unknown_seasons(spark: SparkSession, out_dir: str, run_id: str, named: int =
     return found, n
 
 
-def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, int]:
-    """Recount every analytics table from storage; fail if any is empty.
+def stored_row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> DataFrame:
+    """(table_name, rows) of every stored analytics table, counted in one job.
 
-    ``version`` recounts that run's folders; by default the current versions.
+    ``version`` counts that run's folders; by default the current versions.
     """
-    def path(t: str) -> str:
-        return sinks.version_path(out_dir, t, version) if version else sinks.current_path(spark, out_dir, t)
+    def one(t: str) -> DataFrame:
+        path = sinks.version_path(out_dir, t, version) if version else sinks.current_path(spark, out_dir, t)
+        return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
+
+    return functools.reduce(DataFrame.unionByName, [one(t) for t in (FACT_TABLE, *KPI_SCHEMAS)])
+
 
-    counts = {t: spark.read.parquet(path(t)).count() for t in (*KPI_SCHEMAS, FACT_TABLE)}
+def row_counts(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, int]:
+    """Recount every analytics table from storage; fail if any is empty."""
+    counts = {r["table_name"]: r["rows"] for r in stored_row_counts(spark, out_dir, version).collect()}
     empty = [t for t, n in counts.items() if n == 0]
     if empty:
         raise ValueError(f"The run left these tables without rows: {empty}")
     return counts
 
 
+def stored_reconciliation(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``analytics.reconciliation`` of the published fact and KPI tables."""
+    read = lambda t: sinks.read_current(spark, out_dir, t)
+    return analytics.reconciliation(read(FACT_TABLE), read(KPI_BOOKING_COUNT_TABLE), read(KPI_AVERAGE_FARE_TABLE))
+
+
 def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
         min_valid_ratio: float = MIN_VALID_ROW_RATIO, multiline_csv: bool = False,
         source_file: str | None = None, timestamp_format: str | None = None) -> RunResult:
@@ -205,9 +241,11 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     t0 = time.perf_counter()
     fact_summary = load_fact(spark, out_dir, run_id, now, report)
     timings["fact"] = time.perf_counter() - t0
-    seasons = unknown_seasons(spark, out_dir, run_id)
     t0 = time.perf_counter()
-    load_kpis(spark, out_dir, run_id, now)
+    base = load_kpi_base(spark, out_dir, run_id)
+    load_kpis(spark, out_dir, run_id, now, base=base)
+    fact_summary |= distinct_summary(base)
+    seasons = unknown_seasons(base)
     timings["kpis"] = time.perf_counter() - t0
     t0 = time.perf_counter()
     counts = row_counts(spark, out_dir, run_id)

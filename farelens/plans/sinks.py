@@ -13,6 +13,7 @@ old recorded versions when it is asked to.
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -37,6 +38,19 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors see. Only a
+    single-process session that names none (tests) gets a temporary folder."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="farelens-checkpoint-"))
+        path = sc.getCheckpointDir()
+    return path.rstrip("/")
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 

@@ -59,6 +59,25 @@ def test_full_run(spark, tmp_out):
     assert res.completed_at is not None and res.unknown_seasons == []
 
 
+def test_load_checks_see_a_broken_table(spark, tmp_out):
+    """What is stored is counted: a KPI table with rows lost or changed shows."""
+    out = os.path.join(tmp_out, "out")
+    res = pipeline.run(spark, fares_csv(os.path.join(tmp_out, "fares.csv")), out)
+    read = lambda: dict(map(tuple, pipeline.stored_reconciliation(spark, out).collect()))
+    sound = {"fact rows": "40", "sum of KPI bookings": "40", "sum of KPI flights": "40", "distinct fact airlines": "3", "KPI airline rows": "3"}
+    assert read() == sound
+    fares = sinks.read_current(spark, out, "kpi_average_fare_by_airline")
+    sinks.publish(fares.where("airline <> 'Gull'"), out, "kpi_average_fare_by_airline", "lost")
+    booking = sinks.read_current(spark, out, "kpi_booking_count_by_airline")
+    sinks.publish(booking.withColumn("booking_count", booking["booking_count"] + 1), out, "kpi_booking_count_by_airline", "changed")
+    assert read() == sound | {"sum of KPI bookings": "43", "sum of KPI flights": "27", "KPI airline rows": "2"}
+    assert pipeline.row_counts(spark, out)["kpi_average_fare_by_airline"] == 2
+    assert pipeline.row_counts(spark, out, res.run_id)["kpi_average_fare_by_airline"] == 3
+    sinks.publish(booking.where("false"), out, "kpi_booking_count_by_airline", "empty")
+    with pytest.raises(ValueError, match="kpi_booking_count_by_airline"):
+        pipeline.row_counts(spark, out)
+
+
 def test_gate_failure_keeps_report_and_previous_tables(spark, tmp_out):
     out = os.path.join(tmp_out, "out")
     first = pipeline.run(spark, fares_csv(os.path.join(tmp_out, "good.csv")), out)

@@ -38,7 +38,7 @@ def test_windows_only_over_top_n_rows(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
-@pytest.mark.parametrize("name", ["reconciliation", "row_counts", "fact_summary", "fact_provenance"])
+@pytest.mark.parametrize("name", ["fact_summary", "fact_provenance"])
 def test_summaries_pass_the_rows_once(spark, name):
     """One scan of lineitem, no row copied for a distinct count."""
     text = QUERIES[name](shared_frames(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
@@ -46,6 +46,13 @@ def test_summaries_pass_the_rows_once(spark, name):
     assert len([line for line in text.split("\n") if "Relation" in line and "l_orderkey" in line]) == 1
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["reconciliation", "row_counts", "compute_all"])
+def test_load_checks_read_stored_tables(spark, name):
+    text = QUERIES[name](shared_frames(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in text and "l_orderkey" not in text and "Relation" in text
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 def test_fare_rules_go_below_the_joins(spark):
     text = shared_frames(spark, SF_DIR).valid._jdf.queryExecution().optimizedPlan().toString().split("\n")
