@@ -92,3 +92,61 @@ def test_a_long_item_costs_memory_by_its_length():
     (n, spans, names, longest, item, item_at, at), = suffix_match.match_block([doc], items)
     assert (n, spans, names, longest, item, at) == (3_008, [{"first": 7, "after": 3_007}], ["long"], 3_000, "long", 7)
     assert long[item_at : item_at + longest] == doc[7:3_007]
+
+
+def test_ties_and_longest_matches_against_all_pairs():
+    rng = random.Random(8)
+    word = lambda n: [rng.choice([b"a", b"b"]) for _ in range(n)]
+    lead = word(6)
+    items = [(f"i{k}", lead + word(rng.randint(0, 9))) for k in range(20)] + [("s", lead[:3]), ("t", lead[:3])]
+    docs = [word(5) + rng.choice(items)[1] + word(5) for _ in range(25)]
+    compiled = suffix_match.compile_items([(n, b" ".join(w)) for n, w in items], 6)
+    for doc, got in zip(docs, suffix_match.match_block(docs, compiled), strict=True):
+        best = (0, 0, None)
+        for place in range(len(doc)):
+            for k, (_, w) in enumerate(items):
+                for at in range(len(w) - min(6, len(w)) + 1):
+                    n = 0
+                    while at + n < len(w) and place + n < len(doc) and w[at + n] == doc[place + n]:
+                        n += 1
+                    if n >= min(6, len(w)):
+                        best = max(best, (n, -place, (-k, -at)), key=lambda x: (x[0], x[1], x[2] or ()))
+        n, place, (k, at) = best
+        assert got[3:] == (n, items[-k][0], -at, -place)
+
+
+def test_shared_leads_cost_no_product():
+    import time
+    import tracemalloc
+
+    lead = b"once upon a time in a land far far away "
+    compiled = suffix_match.compile_items([(f"i{k:03}", lead + f"there was x{k} y{k}".encode()) for k in range(800)], 10)
+    docs = [(lead + f"there was x{k % 900} so".encode()).split() for k in range(8000)]
+    tracemalloc.start()
+    begin = time.perf_counter()
+    got = suffix_match.match_block(docs[:10], compiled)
+    assert [r[3] for r in got] == [13] * 10 and [r[4] for r in got[:2]] == ["i000", "i001"]
+    got = suffix_match.match_block([[w for d in docs for w in d]], compiled)
+    took, most = time.perf_counter() - begin, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got[0][2]) == 800 and took < 10 and most < 200 << 20
+
+
+def test_many_blocks_keep_one_broadcast(spark, monkeypatch):
+    sc, alive, most = spark.sparkContext, set(), []
+    real = type(sc).broadcast
+
+    def broadcast(self, value):
+        shared = real(self, value)
+        if isinstance(value, dict) and "vocab" in value:
+            alive.add(id(shared))
+            most.append(len(alive))
+            shared.destroy = lambda blocking=False, f=shared.destroy: (alive.discard(id(shared)), f(blocking))
+        return shared
+
+    monkeypatch.setattr(type(sc), "broadcast", broadcast)
+    items = [(k, f"item {k} " + " ".join(f"w{k}x{i}" for i in range(12))) for k in range(12)]
+    docs = [(k, items[k % 12][1]) for k in range(24)] + [(99, "clean")]
+    got = as_dicts(suffix_match.contamination(documents(spark, docs), spark.createDataFrame(items, ITEMS), most=60))
+    assert len(most) > 5 and max(most) == 1
+    assert all(got[k]["n_hit"] == 14 and got[k]["n_items"] == 1 for k in range(24)) and not got[99]["contaminated"]
