@@ -1,10 +1,13 @@
 """License scans as an exact set-similarity join of templates and text blocks.
 
-A block is a line; a longer line is cut into overlapping blocks, so that every
-run of BLOCK_STEP words lies in one. As notices are wrapped, the whole text is
-cut in the same way without regard to lines, and blocks that hold a line break
-are looked at, too; their step is at least the longest template. A template is
-found where a block holds at least THRESHOLD of its distinct words. Words are
+A block is a line; a longer line is cut into overlapping blocks of two steps,
+one step apart, so that every run of a step's words lies in one. As notices are
+wrapped, the whole text is cut in the same way without regard to lines, and
+blocks that hold a line break are looked at, too. Templates are joined in
+classes by their length: the step of a class is at least its longest template,
+BLOCK_STEP doubled as often as that takes, so a template of any length lies
+whole in some block wherever it starts. A template is found where a block holds
+at least THRESHOLD of its distinct words. Words are
 ordered by their frequency in the whole corpus, rarest first. With overlap a = ceil(threshold * |T|):
 
 * prefix: T's first |T| - a + 1 words and the block's first |B| - a + 1 share a
@@ -83,16 +86,19 @@ def compile_templates(templates: list[tuple[str, str]], counts: dict[str, int],
     for k, s in enumerate(sets):
         for i, w in enumerate(s[: len(s) - least[k] + 1]):
             index.setdefault(w, []).append((k, i))
-    return {"ids": ids, "sets": sets, "least": least, "index": index, "labels": [x for x, _ in templates],
-            "step": max([BLOCK_STEP, *(len(words(t.encode())) for _, t in templates)])}
+    steps = [BLOCK_STEP << max(0, math.ceil(math.log2(max(1, len(words(x.encode()))) / BLOCK_STEP))) for _, x in templates]
+    classes = [(step, {w: own for w, kis in index.items() if (own := [(k, i) for k, i in kis if steps[k] == step])}) for step in sorted(set(steps))]
+    return {"ids": ids, "sets": sets, "least": least, "index": index, "classes": classes, "labels": [x for x, _ in templates]}
 
 
-def join_block(block: list[int], t: dict) -> list[tuple[int, int]]:
-    """(template, overlap) of all templates that reach the threshold in a block
-    of distinct template words in global order."""
+def join_block(block: list[int], t: dict, index: dict[int, list] | None = None) -> list[tuple[int, int]]:
+    """(template, overlap) of all templates of a prefix index (by default of
+    all) that reach the threshold in a block of distinct template words in
+    global order."""
     shared: dict[int, int] = {}
+    index = t["index"] if index is None else index
     for j, w in enumerate(block):
-        for k, i in t["index"].get(w, ()):
+        for k, i in index.get(w, ()):
             least = t["least"][k]
             if len(block) < least or j > len(block) - least or shared.get(k, 0) < 0:
                 continue
@@ -113,7 +119,9 @@ def wrapped(marks: np.ndarray, ends: np.ndarray, n: int, step: int) -> list[int]
     return first[np.searchsorted(ends, first, "right") != np.searchsorted(ends, after - 1, "right")].tolist()
 
 
-def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], prefix: np.ndarray) -> tuple:
+def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], prefix: list[np.ndarray]) -> tuple:
+    """Base places and template blocks of a text; ``prefix`` tells for each class
+    of templates which words are in its prefix index."""
     lines = [x.split() for x in text.translate(KEEP_LINES).split(b"\n")] if text else []
     flat = [w for x in lines for w in x]
     ids = np.fromiter(map(t["all"].get, flat, repeat(0)), "int64", len(flat))
@@ -128,20 +136,21 @@ def scan(text: bytes | None, t: dict, phrases: list[tuple[list[int], str]], pref
     at = np.concatenate(places) if places else ids[:0]
     found = []
 
-    def add(a, block):
-        for x, n in join_block([int(w) for w in np.unique(block) if 0 < w <= t["most"]], t):
+    def add(a, block, index):
+        for x, n in join_block([int(w) for w in np.unique(block) if 0 < w <= t["most"]], t, index):
             found.append({"label": t["labels"][x], "first": a, "after": a + len(block), "containment": n / len(t["sets"][x])})
 
-    marks = np.flatnonzero(prefix[ids])
-    if len(marks):
-        ends = np.cumsum([len(x) for x in lines])
+    ends = np.cumsum([len(x) for x in lines])
+    for (step, index), starts in zip(t["classes"], prefix, strict=True):
+        marks = np.flatnonzero(starts[ids])
+        if not len(marks):
+            continue
         for k in np.unique(np.searchsorted(ends, marks, "right")).tolist():
             after, first = int(ends[k]), int(ends[k]) - len(lines[k])
-            for a in range(first, max(first + 1, after - BLOCK_WORDS + BLOCK_STEP), BLOCK_STEP):
-                block = ids[a : min(a + BLOCK_WORDS, after)]
-                add(a, block)
-        for a in wrapped(marks, ends, len(ids), t["step"]):
-            add(a, ids[a : a + 2 * t["step"]])
+            for a in range(first, max(first + 1, after - step), step):
+                add(a, ids[a : min(a + 2 * step, after)], index)
+        for a in wrapped(marks, ends, len(ids), step):
+            add(a, ids[a : a + 2 * step], index)
     return len(flat), len(at), int(at.min()) if len(at) else None, int(at.max()) if len(at) else None, sorted(labels), found
 
 
@@ -160,8 +169,7 @@ def licenses(docs: DataFrame, carry: list[str], text_col: str = "text", template
 
     def make():
         t, spelled = shared.value
-        prefix = np.zeros(len(t["all"]) + 1, bool)
-        prefix[list(t["index"])] = True
+        prefix = [np.isin(np.arange(len(t["all"]) + 1), list(index)) for _, index in t["classes"]]
 
         def f(column):
             rows = [scan(x, t, spelled, prefix) for x in texts(column)]
@@ -176,8 +184,9 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels and score: 1 with a base place, else the best containment found, or 0.
 
-    Repeated rows each give a row, NULL ids stay, other columns are not read,
-    and an empty table gives an empty result.
+    Texts may have any length: blocks have a bounded number of words. Templates
+    that tie are all listed. Repeated rows each give a row, NULL ids stay, other
+    columns are not read, and an empty table gives an empty result.
     """
     best = F.coalesce(F.array_max(F.transform("found", lambda x: x["containment"])), F.lit(0.0))
     every = F.array_sort(F.array_union("base_labels", F.transform("found", lambda x: x["label"])))

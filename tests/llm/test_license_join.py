@@ -87,3 +87,18 @@ def test_wrapped_template_longer_than_a_block(spark):
     rows = [(k, "x " * k + "\n".join(" ".join(long[i : i + 10]) for i in range(0, 90, 10)) + "\nfoo" * 50) for k in range(0, 200, 13)]
     got = license_join.scanned(documents(spark, rows), templates=[("long", " ".join(long))]).collect()
     assert {(r.labels, r.score) for r in got} == {("long", 1.0)}
+
+
+def test_templates_of_every_length_at_every_offset():
+    """On one long line, and wrapped, a template lies whole in some block."""
+    sizes = (10, 31, 32, 33, 47, 48, 56, 64, 65, 96, 128)
+    templates = [(f"t{n}", " ".join(f"q{n}x{k}" for k in range(n))) for n in sizes]
+    t = license_join.compile_templates(templates, {}, 0.95)
+    t |= {"all": t["ids"], "most": len(t["ids"])}
+    prefix = [license_join.np.isin(license_join.np.arange(t["most"] + 1), list(index)) for _, index in t["classes"]]
+    for label, body in templates:
+        for offset in range(140):
+            for gap in (" ", "\n"):
+                text = "foo " * offset + body.replace(" ", gap) + " bar" * 150
+                found = license_join.scan(text.encode(), t, [], prefix)[5]
+                assert max((f["containment"] for f in found if f["label"] == label), default=0) == 1.0, (label, offset, gap)
