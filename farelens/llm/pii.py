@@ -30,7 +30,8 @@ from .common import stored, table
 #: the last match ended, and don't give back: the same matches in linear time.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
+#: A run of digits that single blanks or hyphens may part, of 12 digits or more.
+CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=(?:[0-9][\x20-]?){11}[0-9])[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Wider patterns of the method, all in one pass.
 WIDER = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++"
@@ -51,6 +52,8 @@ AGAINST = r"(?:order|invoice|isbn|issn|version|chapter|section|page|item|ticket|
 LABELERS = ("format", "gazetteer", "context", "boundary")
 BEFORE = 40
 ROUNDS = 12
+#: Matches whose places are summed up at once.
+CHUNK = 64
 ADD = 0.9
 
 SPAN = ("array<struct<kind:string,first:int,after:int,base:boolean,format:int,gazetteer:int,context:int,boundary:int,size:int>>")
@@ -70,19 +73,46 @@ def luhn(number: Column) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(number), ""), worth), F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0))) % 10 == 0
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sums_before(sizes: Column, levels: int = 2) -> Column:
+    """For each entry of a non-empty array the sum of those before it.
+
+    An array can only grow by being copied, so sums are taken in chunks, and
+    the chunks' totals in the same way: work stays close to the array's length.
+    """
+    if not levels:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        grown = lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(sizes, none, grown)["out"]
+    whole = lambda x: F.aggregate(x, F.lit(0), lambda acc, n: acc + n)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / CHUNK).cast("int")), lambda k: F.slice(sizes, k * CHUNK + 1, F.lit(CHUNK)))
+    shifted = lambda x, start: F.transform(sums_before(x, 0), lambda n: n + start)
+    return let(chunks, lambda c: F.flatten(F.zip_with(c, sums_before(F.transform(c, whole), levels - 1), shifted)))
+
+
 def located(text: Column, pattern: str) -> Column:
     """All matches of a pattern as structs of value, first, after, the text
     before (since the last match) and after it."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    steps = F.sequence(F.lit(1), F.size(found))
-    pieces = F.transform(steps, lambda i: F.struct(F.get(found, i - 1).alias("value"), F.get(gaps, i - 1).alias("before"), F.get(gaps, i).alias("behind")))
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
     none = F.array().cast("array<struct<value:string,first:int,after:int,before:string,behind:string>>")
-    walk = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, p: F.struct(
-        (acc["at"] + F.length(p["before"]) + F.length(p["value"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(
-            p["value"].alias("value"), (acc["at"] + F.length(p["before"])).alias("first"), (acc["at"] + F.length(p["before"]) + F.length(p["value"])).alias("after"),
-            F.right(p["before"], F.lit(BEFORE)).alias("before"), F.left(p["behind"], F.lit(1)).alias("behind")))).alias("out")))["out"]
-    return F.when(F.size(found) > 0, walk).otherwise(none)
+
+    def placed(x: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.size(x["found"]) - 1)
+        size = lambda i: F.length(F.get(x["gaps"], i)) + F.length(F.get(x["found"], i))
+
+        def match(i: Column, start: Column) -> Column:
+            value, before = F.get(x["found"], i), F.get(x["gaps"], i)
+            first = start + F.length(before)
+            return F.struct(value.alias("value"), first.alias("first"), (first + F.length(value)).alias("after"),
+                            F.right(before, F.lit(BEFORE)).alias("before"), F.left(F.get(x["gaps"], i + 1), F.lit(1)).alias("behind"))
+
+        return F.when(F.size(x["found"]) > 0, let(F.transform(steps, size), lambda sizes: F.zip_with(steps, sums_before(sizes), match))).otherwise(none)
+
+    return let(both, placed)
 
 
 def vote(yes: Column, no: Column) -> Column:
@@ -222,8 +252,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: doc_id, n_email, n_ip, n_card, n_phone (base spans),
     base_sha256, spans (all, as kind:first:after), n_added.
 
-    NULL and empty texts have no spans. Repeated rows each give a row, NULL ids
-    stay, other columns are not read, and an empty table gives an empty result.
+    NULL and empty texts have no spans. Texts may have any length and number of
+    matches: places are found in time close to their number. Repeated rows each
+    give a row, NULL ids stay, other columns are not read, and an empty table gives an empty result.
     """
     spans = stored(candidates(docs, id_col, text_col), "pii-candidates")
     kept = found(spans, train(spans))

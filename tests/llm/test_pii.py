@@ -6,7 +6,7 @@ import pytest
 from farelens.llm import pii
 from pyspark.sql import functions as F
 
-from .helpers import as_dicts, documents
+from .helpers import as_dicts, documents, sha
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -93,3 +93,33 @@ def test_candidates_that_are_added(spark):
 
 def test_empty_table(spark):
     assert pii.personal_data(documents(spark, [])).count() == 0
+
+
+def test_many_numbers_in_one_text(spark):
+    import time
+
+    numbers = ", ".join(str(100_000 + k) for k in range(125_000))  # 1 MB
+    cards = " ; ".join(["4111 1111 1111 1111", "1.2.3.4", "a@b.cd", "+49 30 1234567"] * 9000)
+    begin = time.perf_counter()
+    got = as_dicts(pii.personal_data(documents(spark, [(1, numbers), (2, cards)], partitions=2)))
+    assert time.perf_counter() - begin < 60
+    assert [got[1][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [0, 0, 0, 0]
+    assert [got[2][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [9000] * 4
+    spans, at = [], 0
+    for k in range(9000):
+        for kind, value in (("card", "4111 1111 1111 1111"), ("ip", "1.2.3.4"), ("email", "a@b.cd"), ("phone", "+49 30 1234567")):
+            spans.append(f"{kind}:{at}:{at + len(value)}")
+            at += len(value) + 3
+    assert got[2]["base_sha256"] == sha(",".join(spans))
+
+
+def test_sums_before(spark):
+    rng = random.Random(3)
+    rows = [[rng.randint(0, 9) for _ in range(n)] for n in (1, 2, 63, 64, 65, 128, 4096, 4097, 9000)]
+    df = spark.createDataFrame([(r,) for r in rows], "a array<int>")
+    for r in df.select("a", pii.sums_before(F.col("a")).alias("s")).collect():
+        total, want = 0, []
+        for n in r.a:
+            want.append(total)
+            total += n
+        assert r.s == want
