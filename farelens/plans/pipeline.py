@@ -211,11 +211,13 @@ def stored_reconciliation(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
-        min_valid_ratio: float = MIN_VALID_ROW_RATIO, multiline_csv: bool = False,
+        min_valid_ratio: float = MIN_VALID_ROW_RATIO, multiline_csv: bool | str = False,
         source_file: str | None = None, timestamp_format: str | None = None) -> RunResult:
     """The whole run. ``source`` is a CSV path (file or folder) or a raw frame.
 
-    ``timestamp_format`` names the pattern of timestamps that aren't ISO text.
+    ``multiline_csv`` allows quoted line breaks: True reads each file whole,
+    "split" reads large files by byte ranges. ``timestamp_format`` names the
+    pattern of timestamps that aren't ISO text.
     """
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = _run_id(now)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelens.model import CSV_COLUMN_MAP, NA_STRINGS
+from farelens.sources.csv_records import records
 
 
 def check_source_file(spark: SparkSession, path: str) -> str:
@@ -72,6 +73,30 @@ def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return text.where(sound.otherwise(F.lit(True))).drop(_BROKEN)
 
 
+def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``read_csv_text(multiline=True)`` and ``_source_file``, with
+    large files read by many tasks (see ``csv_records``).
+
+    Every file must have the same header. A record with more fields than it, or
+    with quotes that don't pair up, stops the read, with its text in the
+    message; one with fewer fields is filled with NULL, an empty line is left out.
+    """
+    header = spark.read.options(**QUOTING, header=True, multiLine=True, inferSchema=False).csv(path).columns
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header) + 1)])
+    rows = records(spark, path).where("record <> ''").withColumn("first", (F.col("split") == 0) & (F.col("nth") == 1))
+    cells = rows.select("file", "first", "record", F.from_csv("record", fields.simpleString()[7:-1].replace(":", " "), {**QUOTING, "multiLine": "true"}).alias("x"))
+    # A mark put behind the record shows up as a cell of its own, unless an open
+    # quote takes it in or there are more fields than the header has.
+    marked = F.from_csv(F.concat("record", F.lit("," + _MARK)), fields.simpleString()[7:-1].replace(":", " "), {**QUOTING, "multiLine": "true"})
+    ended = F.array_contains(F.array(*[F.coalesce(marked[f"c{i}"], F.lit("")) for i in range(len(header) + 1)]), _MARK)
+    same = F.array(*[F.coalesce(F.col(f"x.c{i}"), F.lit("")) for i in range(len(header))]) == F.array(*[F.lit(h) for h in header])
+    stop = lambda text: F.raise_error(F.concat(F.lit(text), F.left("record", F.lit(200)))).cast("boolean")
+    sound = F.when(~ended, stop(f"A record has more fields than the header of {len(header)}, or quotes that don't pair up: ")).when(
+        F.col("first"), F.when(same, F.lit(False)).otherwise(stop("A file's header differs from that of the others: "))).otherwise(F.lit(True))
+    name = F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))
+    return cells.where(sound).select(*[F.col(f"x.c{i}").alias(h) for i, h in enumerate(header)], name.alias("_source_file"))
+
+
 def plain_file_name():
     """The name of the file a row comes from, as it is on disk: the metadata
     column has it in the form of a URL, in which a plus stands for itself."""
@@ -96,14 +121,18 @@ def map_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*cols, *keep)
 
 
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multiline: bool | str = False) -> DataFrame:
     """Raw rows in staging names, with ``_source_file`` set to each row's file name.
 
     Plain CSV is split by byte ranges, so a large file is read by many tasks.
-    With ``multiline`` every file is read whole by one task; the rows are then
-    rebalanced (a round-robin shuffle that AQE sizes), so one big file does not
-    leave the labelling of a third of the data to a single task.
+    With ``multiline=True`` every file is read whole by one task; the rows are
+    then rebalanced (a round-robin shuffle that AQE sizes), so one big file does
+    not leave the labelling of a third of the data to a single task. With
+    ``multiline="split"`` files with quoted line breaks are read by byte ranges,
+    too, for one shuffle of their lines.
     """
+    if multiline == "split":
+        return map_columns(read_csv_split(spark, path), keep=("_source_file",))
     text = read_csv_text(spark, path, multiline)
     with_file = text.withColumn("_source_file", plain_file_name())
     raw = map_columns(with_file, keep=("_source_file",))
