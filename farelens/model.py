@@ -161,6 +161,21 @@ STAGED_TYPES: dict[str, T.DataType] = {
     "days_before_departure": T.IntegerType(),
 }
 
+# Declared lengths of the staging layout's text columns, in characters.
+STAGED_LENGTHS: dict[str, int] = {
+    "airline": 100,
+    "source": 10,
+    "source_name": 255,
+    "destination": 10,
+    "destination_name": 255,
+    "stopovers": 50,
+    "aircraft_type": 100,
+    "flight_class": 50,
+    "booking_source": 50,
+    "seasonality": 50,
+    "_source_file": 255,
+}
+
 FACT_SCHEMA = T.StructType(
     [T.StructField(c, STAGED_TYPES[c]) for c in FACT_COLUMNS[:17]]
     + [

@@ -130,3 +130,13 @@ def provenance(staging: DataFrame, with_time: bool = True) -> DataFrame:
     """Rows per (source file, ingest time)."""
     keys = ["_source_file", "_ingested_at"] if with_time else ["_source_file"]
     return staging.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_loaded"))
+
+
+def declared_lengths(staged: DataFrame, lengths: dict[str, int]) -> DataFrame:
+    """Per text column with a declared length: that length, the longest value and
+    how many values are over it, in one pass."""
+    known = {c: n for c, n in lengths.items() if c in staged.columns}
+    row = staged.agg(*[F.max(F.length(c)).alias(f"longest_{c}") for c in known], *[F.count_if(F.length(c) > n).alias(f"over_{c}") for c, n in known.items()])
+    lines = [F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("long").alias("declared"), F.col(f"longest_{c}").cast("long").alias("longest"),
+                      F.col(f"over_{c}").alias("overlong")) for c, n in known.items()]
+    return row.select(F.inline(F.array(*lines)))

@@ -25,11 +25,12 @@ from farelens.model import (
     KPI_SEASONAL_VARIATION_TABLE,
     KPI_TABLES,
     NUMERIC_COLUMNS,
+    STAGED_LENGTHS,
     STAGED_TYPES,
     TEXT_COLUMNS,
 )
 from farelens.operators import analytics, enrich, inspect, kpis, rules
-from farelens.plans import pipeline, sinks
+from farelens.plans import ids, pipeline, sinks
 from farelens.sources.csv import map_columns
 from farelens.sources.mapping import TEXT_TIME_FORMAT, raw_from_tpch, text_from_tpch
 from farelens.sources.staging import conform, raw_column_name, stage
@@ -124,6 +125,8 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     # sources and staging
     "valid_rows": lambda fr: _with_lineage(fr.valid, *STAGED_TYPES, "_source_file"),
     "provenance": lambda fr: inspect.provenance(fr.labelled, with_time=False),
+    "row_ids": lambda fr: ids.numbered(fr.staged.select(*LINEAGE), LINEAGE),
+    "declared_lengths": lambda fr: inspect.declared_lengths(fr.staged, STAGED_LENGTHS),
     # row rules
     "rule_labels": lambda fr: fr.labelled.select(*LINEAGE, "is_valid", "validation_errors"),
     "invalid_rows": lambda fr: fr.labelled.where(~F.col("is_valid")).select(*LINEAGE, "validation_errors"),

@@ -250,6 +250,16 @@ from (select {case} as fare_case, count(*) as rows_affected from labelled group
 cross join (select count(*) as table_rows from labelled) t"""
 
 
+_LENGTHS = {"airline": 100, "source": 10, "source_name": 255, "destination": 10, "destination_name": 255, "stopovers": 50, "aircraft_type": 100,
+            "flight_class": 50, "booking_source": 50, "seasonality": 50, "_source_file": 255}
+
+
+def _declared_lengths() -> str:
+    return "\nunion all\n".join(
+        f"select '{c}' as column_name, cast({n} as bigint) as declared, max(length({c})) as longest, count(*) filter (where length({c}) > {n}) as overlong from labelled"
+        for c, n in _LENGTHS.items())
+
+
 def _null_counts() -> str:
     cols = ("airline", "source", "destination", "base_fare_bdt", "tax_surcharge_bdt", "total_fare_bdt")
     return "\nunion all\n".join(
@@ -383,6 +393,8 @@ BODIES: dict[str, str] = {
     "rule_non_numeric": _rule_non_numeric(),
     "valid_rows": _lineage(_d(_STAGED_COLS) + ["_source_file"], "valid"),
     "provenance": "select _source_file, count(*) as rows_loaded from labelled group by _source_file",
+    "row_ids": "select row_number() over (order by l_orderkey, l_linenumber) as id, l_orderkey, l_linenumber from labelled",
+    "declared_lengths": _declared_lengths(),
     "rule_labels": _lineage(["is_valid", "validation_errors"], "labelled"),
     "invalid_rows": _lineage(["validation_errors"], "labelled", "where not is_valid"),
     "fare_flags": _lineage(["reconciles_exactly", "has_known_uplift"], "labelled"),

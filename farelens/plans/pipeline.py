@@ -37,6 +37,7 @@ from farelens.model import (
     KPI_SEASONAL_VARIATION_TABLE,
     MIN_VALID_ROW_RATIO,
     REPORT_FILENAME,
+    STAGED_LENGTHS,
     STAGING_TABLE,
 )
 from farelens.operators import analytics, enrich, kpis, rules
@@ -77,16 +78,27 @@ def _run_id(now: datetime) -> str:
 
 
 def load_staging(raw: DataFrame, out_dir: str, run_id: str, source_file: str | None,
-                 ingested_at: datetime, timestamp_format: str | None = None) -> dict:
-    """Stage, label and write every row; returns the quality report."""
+                 ingested_at: datetime, timestamp_format: str | None = None,
+                 compact: bool = False, check_lengths: bool = False) -> dict:
+    """Stage, label and write every row; returns the quality report.
+
+    Written straight from the input splits, each task may write two files, one
+    of them with the few invalid rows. ``compact`` deals the rows out by
+    ``is_valid`` first, a shuffle of all rows that adaptive execution cuts to
+    its advisory size, so files are few and full. ``check_lengths`` refuses
+    text over its declared length.
+    """
     staged = stage(raw, source_file=source_file, ingested_at=ingested_at, timestamp_format=timestamp_format)
     labelled = rules.label(staged, keep_bits=True)
     rs = rules.rules(staged)
+    if compact:
+        labelled = labelled.hint("rebalance", "is_valid")
     observed = sinks.publish(
         labelled, out_dir, STAGING_TABLE, run_id,
         partition_by=("is_valid",), allow_empty=False,
         observe=rules.report_columns(labelled, with_total=False),
         drop=(rules.RULE_BITS,),
+        lengths=STAGED_LENGTHS if check_lengths else None,
     )
     total = observed["_rows"]
     valid = observed["valid_rows"]
@@ -212,12 +224,14 @@ def stored_reconciliation(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
         min_valid_ratio: float = MIN_VALID_ROW_RATIO, multiline_csv: bool | str = False,
-        source_file: str | None = None, timestamp_format: str | None = None) -> RunResult:
+        source_file: str | None = None, timestamp_format: str | None = None,
+        compact_staging: bool = False, check_lengths: bool = False) -> RunResult:
     """The whole run. ``source`` is a CSV path (file or folder) or a raw frame.
 
     ``multiline_csv`` allows quoted line breaks: True reads each file whole,
     "split" reads large files by byte ranges. ``timestamp_format`` names the
-    pattern of timestamps that aren't ISO text.
+    pattern of timestamps that aren't ISO text. ``compact_staging`` and
+    ``check_lengths`` are those of ``load_staging``.
     """
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = _run_id(now)
@@ -231,7 +245,7 @@ def run(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     rules.validate_required_columns(raw)
     timings = {}
     t0 = time.perf_counter()
-    report = load_staging(raw, out_dir, run_id, name, now, timestamp_format)
+    report = load_staging(raw, out_dir, run_id, name, now, timestamp_format, compact_staging, check_lengths)
     timings["staging"] = time.perf_counter() - t0
     rules.check_not_empty(report)
     sinks.write_report_json(spark, {**report, "source_file": name}, f"{out_dir}/{REPORT_FILENAME}")

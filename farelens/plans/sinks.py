@@ -165,17 +165,23 @@ def publish(df: DataFrame, root: str, table: str, version: str, *,
             schema: T.StructType | None = None, not_null: tuple[str, ...] = (),
             key: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
             observe: list | None = None, drop: tuple[str, ...] = (),
-            allow_empty: bool = True) -> dict:
+            allow_empty: bool = True, lengths: dict[str, int] | None = None) -> dict:
     """Write, check, then publish ``df`` as the current version of ``table``.
 
-    NOT NULL counts are observed during the write itself; only the key check
-    (meant for small tables such as the KPIs) reads the written data again.
+    NOT NULL counts, and the values over their declared ``lengths``, are observed
+    during the write itself; only the key check (meant for small tables such as
+    the KPIs) reads the written data again.
     Without ``allow_empty`` a table of no rows is written but not published.
     """
     if schema is not None:
         df = conform_schema(df, schema)
     null_metrics = [F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in not_null]
+    limits = {c: n for c, n in (lengths or {}).items() if c in df.columns}
+    null_metrics += [F.count_if(F.length(c) > n).alias(f"_long_{c}") for c, n in limits.items()]
     metrics = write_version(df, root, table, version, partition_by, [*(observe or []), *null_metrics], drop)
+    long = {c: metrics[f"_long_{c}"] for c in limits if metrics[f"_long_{c}"]}
+    if long:
+        raise LoadCheckError(f"Values longer than declared in column(s) of {table}: {long}")
     bad = {c: metrics[f"_nulls_{c}"] for c in not_null if metrics[f"_nulls_{c}"]}
     if bad:
         raise LoadCheckError(f"NULL values in NOT NULL column(s) of {table}: {bad}")
