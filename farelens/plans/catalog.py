@@ -30,7 +30,7 @@ from farelens.model import (
     TEXT_COLUMNS,
 )
 from farelens.operators import analytics, enrich, inspect, kpis, rules
-from farelens.plans import ids, pipeline, sinks
+from farelens.plans import ids, pipeline, sinks, writeback
 from farelens.sources.csv import map_columns
 from farelens.sources.mapping import TEXT_TIME_FORMAT, raw_from_tpch, text_from_tpch
 from farelens.sources.staging import conform, raw_column_name, stage
@@ -111,6 +111,22 @@ def compute_all(fr: Frames) -> DataFrame:
     return kpis.stacked({t: sinks.read_current(spark, out, t) for t in KPI_TABLES})
 
 
+def labels_written_back(fr: Frames) -> DataFrame:
+    """Labels computed from stored rows and written back to the stored table by
+    id, in two label tables."""
+    spark = fr.staged.sparkSession
+    folder, name = f"{sinks.scratch_dir(spark)}/written-back-{uuid.uuid4().hex}", f"staging_{uuid.uuid4().hex}"
+    fr.staged.select(F.monotonically_increasing_id().alias("id"), "*").write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    empty = {"is_valid": F.lit(None).cast("boolean"), "validation_errors": F.lit(None).cast("string")}
+    writeback.store(rows.select("id", *LINEAGE).withColumns(empty), name, f"{folder}/table", folders=4, buckets=4)
+    labels = rules.label(rows).select("id", "is_valid", "validation_errors")
+    for half in (0, 1):
+        writeback.write_back(spark, name, labels.where(F.pmod("id", F.lit(2)) == half))
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.parquet(f"{folder}/table").select(*LINEAGE, "is_valid", "validation_errors")
+
+
 def fact_summary(fr: Frames) -> DataFrame:
     """The load's summary, in one pass over the labelled rows."""
     every = enrich.enrich(enrich.clean(fr.labelled))
@@ -126,6 +142,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "valid_rows": lambda fr: _with_lineage(fr.valid, *STAGED_TYPES, "_source_file"),
     "provenance": lambda fr: inspect.provenance(fr.labelled, with_time=False),
     "row_ids": lambda fr: ids.numbered(fr.staged.select(*LINEAGE), LINEAGE),
+    "labels_written_back": labels_written_back,
     "declared_lengths": lambda fr: inspect.declared_lengths(fr.staged, STAGED_LENGTHS),
     # row rules
     "rule_labels": lambda fr: fr.labelled.select(*LINEAGE, "is_valid", "validation_errors"),

@@ -394,6 +394,7 @@ BODIES: dict[str, str] = {
     "valid_rows": _lineage(_d(_STAGED_COLS) + ["_source_file"], "valid"),
     "provenance": "select _source_file, count(*) as rows_loaded from labelled group by _source_file",
     "row_ids": "select row_number() over (order by l_orderkey, l_linenumber) as id, l_orderkey, l_linenumber from labelled",
+    "labels_written_back": _lineage(["is_valid", "validation_errors"], "labelled"),
     "declared_lengths": _declared_lengths(),
     "rule_labels": _lineage(["is_valid", "validation_errors"], "labelled"),
     "invalid_rows": _lineage(["validation_errors"], "labelled", "where not is_valid"),
