@@ -193,11 +193,11 @@ def windows_of(docs: list[list[bytes]], place: dict[bytes, int]) -> tuple[np.nda
     rows, of, width = [], [], WINDOW + 2 * CONTEXT
     for k, d in enumerate(docs):
         starts = np.arange(0, max(1, len(d) - WINDOW + BIN), BIN) if d else np.zeros(0, "int64")
-        ids = np.zeros(len(d) + width + BIN, "int64")
-        ids[CONTEXT : CONTEXT + len(d)] = np.fromiter((place[w] for w in d), "int64", len(d))
+        ids = np.zeros(len(d) + width + BIN, "int32")
+        ids[CONTEXT : CONTEXT + len(d)] = np.fromiter((place[w] for w in d), "int32", len(d))
         rows.append(ids[starts[:, None] + np.arange(width)])
         of.append(np.full(len(starts), k))
-    return np.concatenate([np.zeros((0, width), "int64"), *rows]), np.concatenate([np.zeros(0, "int64"), *of])
+    return np.concatenate([np.zeros((0, width), "int32"), *rows]), np.concatenate([np.zeros(0, "int64"), *of])
 
 
 def inside(rows: np.ndarray) -> np.ndarray:
@@ -207,12 +207,24 @@ def inside(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def evidence(of: np.ndarray, feature: np.ndarray, size: int, y: np.ndarray) -> np.ndarray:
+def evidence(doc: np.ndarray, word: np.ndarray, grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray, size: int, y: np.ndarray) -> np.ndarray:
     """By feature, how many standard deviations more toxic documents than clean
-    ones hold it; (of, feature) are its occurrences."""
-    seen = np.unique(of * size + feature)
-    toxic, feature = y[seen // size] > 0, seen % size
-    t, c = np.bincount(feature[toxic], minlength=size), np.bincount(feature[~toxic], minlength=size)
+    ones hold it. (doc, word) are the distinct words of each document, sorted;
+    word w has the features ``grams[starts[w] : starts[w] + sizes[w]]``."""
+    count = np.zeros((2, size))
+    edges = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    for some in np.array_split(edges, max(1, len(doc) // 20_000)):  # some documents at a time
+        if not len(some):
+            continue
+        end = edges[np.searchsorted(edges, some[-1]) + 1] if some[-1] != edges[-1] else len(doc)
+        d, w = doc[some[0] : end], word[some[0] : end]
+        reps = sizes[w]
+        feature = grams[np.repeat(starts[w] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())]
+        held = np.unique(np.repeat(d, reps) * size + feature)
+        toxic = y[held // size] > 0
+        for k in (0, 1):
+            count[k] += np.bincount(held[toxic == k] % size, minlength=size)
+    c, t = count
     n_t, n_c = max(1.0, float((y > 0).sum())), max(1.0, float((y <= 0).sum()))
     share = (t + c + 1) / (n_t + n_c + 2)
     return (t / n_t - c / n_c) / np.sqrt(share * (1 - share) * (1 / n_t + 1 / n_c))
@@ -285,19 +297,18 @@ def network(sample: list[list[bytes]], of_doc: np.ndarray, y: np.ndarray, seed:
         adam.step(p, g, rate)
 
     def scores(rows):
-        return np.concatenate([forward(inputs(r)[0], (r > 0).T.astype("float32"), p, None, CONTEXT) for r in np.split(rows, range(2048, len(rows), 2048))])
+        return np.concatenate([forward(inputs(r)[0], (r > 0).T.astype("float32"), p, None, CONTEXT) for r in np.split(rows, range(CHUNK, len(rows), CHUNK))])
 
     # what sets toxic documents apart: their words and n-grams
-    at, word = np.nonzero(inside(win))
-    word = win[at, word]
-    pairs = np.unique(of[at] * len(ids) + word)
+    pairs = np.unique(np.concatenate([np.unique(of[i : i + 4096, None] * len(ids) + np.where(inside(win[i : i + 4096]), win[i : i + 4096], 0)) for i in range(0, len(win), 4096)]))
+    pairs = pairs[pairs % len(ids) > 0]
     doc, seen = pairs // len(ids), pairs % len(ids)
-    by_word = evidence(doc, seen, len(ids), y)
-    reps = sizes[seen]
-    by_gram = evidence(np.repeat(doc, reps), grams[np.repeat(starts[seen] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())], BUCKETS, y)
-    best_gram = np.maximum.reduceat(by_gram[grams], starts)
-    raw = np.full(len(win), -9.0)
-    np.maximum.at(raw, at, np.maximum(by_word, best_gram)[word] - SURE)
+    by_word = evidence(doc, seen, np.arange(len(ids)), np.arange(len(ids)), np.ones(len(ids), "int64"), len(ids), y)
+    by_gram = evidence(doc, seen, grams, starts, sizes, BUCKETS, y)
+    del pairs, doc, seen
+    sign = np.maximum(by_word, np.maximum.reduceat(by_gram[grams], starts)) - SURE
+    sign[0] = -9.0
+    raw = np.concatenate([np.where(inside(win[i : i + 4096]), sign[win[i : i + 4096]], -9.0).max(1) for i in range(0, len(win), 4096)])
     # the vectors start with that as their first entry
     p["char"][:, 0] = np.tanh(by_gram / (2 * SURE))
     np.maximum.at(p["word"][:, 0], ids[1:], np.tanh(by_word[1:] / (2 * SURE)).astype("float32"))
@@ -509,7 +520,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", allowed=None
     id_type = known.schema["id"].dataType.simpleString()
     sample = sorted(((r.label, r.id, r.some) for r in known.select("id", "label", "body").mapInArrow(cut, f"id {id_type}, label int, some array<string>").collect()), key=lambda r: r[:2])
     y = np.array([x for x, _, _ in sample], "float64")
-    flat = [(k, p.encode().split()) for k, (_, _, some) in enumerate(sample) for p in some]
+    kept: dict[bytes, bytes] = {}  # one object for each word
+    flat = [(k, [kept.setdefault(w, w) for w in p.encode().split()]) for k, (_, _, some) in enumerate(sample) for p in some]
     whole, others = networks([p for _, p in flat], y, np.array([k for k, _ in flat], "int64"))
     if "constant" in whole:
         return whole
@@ -556,7 +568,8 @@ def scored(docs: DataFrame, model: dict, carry: list[str], text_col: str = "text
 
 def toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, score. NULL and empty texts have no window and get the
-    lowest score. Repeated rows each give a row, NULL ids stay, other columns
+    lowest score. Texts of any length are scored whole, in pieces of bounded
+    size; equal texts get equal scores. Repeated rows each give a row, NULL ids stay, other columns
     are not read, and an empty table gives an empty result."""
     return scored(docs, model, [id_col], text_col).select(F.col(f"row.`{id_col}`").alias("doc_id"), "score")
 
