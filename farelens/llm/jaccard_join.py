@@ -276,8 +276,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     number of other rows whose sets are similar enough, copies included.
 
     Groups are the connected components of the links. NULL, empty and other
-    texts without words have no set, no link and their own id as class. Repeated
-    rows each give a row and count as copies. A NULL id is no candidate for the
+    texts without words have no set, no link and their own id as class. Texts
+    are read whole; the set of one has to fit in a task. Of ids that tie for a
+    class the value is the same. Repeated rows each give a row and count as copies. A NULL id is no candidate for the
     class id. Other columns are not read; an empty table gives an empty result.
     """
     return marked(docs, id_col, text_col, **options).select("doc_id", "class_id", "n_links")

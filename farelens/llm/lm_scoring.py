@@ -228,8 +228,10 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """Per row: doc_id, n_words, target_loss, background_loss (means a word) and
     score, their difference.
 
-    NULL and empty texts have no words, and 0 for all three. Repeated rows each
-    give a row, NULL ids stay, other columns are not read, and an empty table
+    NULL and empty texts have no words, and 0 for all three. Texts are read
+    whole; one longer than a block is a block of its own, so its words have to
+    fit in a task. Documents that tie have equal scores. Repeated rows each give
+    a row, NULL ids stay, other columns are not read, and an empty table
     gives an empty result.
     """
     own = docs is model["docs"] and (id_col, text_col) == model["columns"]

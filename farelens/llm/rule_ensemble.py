@@ -152,7 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", allowed: C
 
 def score(docs: DataFrame, model: tuple[float, list], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, score. NULL text counts as empty, which has a score like
-    any other; repeated rows each give a row, NULL ids stay, other columns are
+    any other; texts of any length are read whole, by expressions; documents with
+    equal statistics tie; repeated rows each give a row, NULL ids stay, other columns are
     not read, and an empty table gives an empty result."""
     names = list(statistics(F.lit("")))
     return with_statistics(docs, [F.col(id_col).alias("doc_id")], text_col).select("doc_id", compiled(model, names).alias("score"))

@@ -316,8 +316,9 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, n_words, n_removed, kept_sha256.
 
     Windows are judged on the input, so of a passage that stands twice no copy
-    stays. NULL and empty texts have no words; texts shorter than a window lose
-    none. Repeated rows each give a row and count as separate texts, NULL ids
+    stays, and ties between copies don't arise. NULL and empty texts have no
+    words; texts shorter than a window lose none; one longer than a block is
+    hashed on its own. Repeated rows each give a row and count as separate texts, NULL ids
     stay, other columns are not read, an empty table gives an empty result.
     """
     return without_repeats(docs, [id_col], text_col, **options).select(

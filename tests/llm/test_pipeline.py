@@ -56,6 +56,22 @@ def test_run_against_brute_force(spark, tmp_path):
     assert got == want and bad
 
 
+def test_run_over_odd_rows(spark, tmp_path):
+    """NULL ids and texts, repeated rows, a very long text, columns with clashing
+    names, then no documents at all."""
+    long = " ".join(f"w{k}" for k in range(120_000))
+    rows = [(None, "no id here"), (None, None), (1, None), (2, ""), (3, "twice"), (3, "twice"), (4, long), (5, f"{long} and one more"), (6, "left alone by all stages")]
+    for name, some in (("odd", rows), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        documents(spark, some, clash=True).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(k, 1, None if k == 9 else k % 2) for k in range(10)], "doc_id long, quality int, toxic int").where(f"'{name}' = 'none'").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, None), (None, "not in any document")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert sorted((r.doc_id for r in got if r.doc_id is not None)) == [2, 3, 4, 6]  # 1 is empty like 2, 5 a near copy of 4
+    assert sum(r.doc_id is None for r in got) == 1 and {r.n_tokens > 100_000 for r in got if r.doc_id == 4} == {True}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     docs = documents(spark, [(1, "a"), (2, "a")])
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
@@ -68,7 +84,7 @@ def test_entry_has_every_query():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
