@@ -18,28 +18,37 @@ from farelens.llm.common import fold, shared_dir, table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score as toxic. The labels of a third of the
-    ids are never learnt from, as in the query of the operator."""
+    ids are never learnt from, as in the query of the operator. NULL and empty
+    texts stay, as do rows with a NULL id; repeated rows and equal texts go or
+    stay together; texts of any length are scored whole. Without labels, or with
+    one class only, every text has the same score."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), allowed=fold(F.col("doc_id"), 3) != 1)
     return toxicity.reject(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text: that of the largest id, NULL being smallest;
+    ties are settled by the other columns. NULL text counts as empty, and of
+    repeated rows one stays."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that of the least id, NULL
+    first, then of the least text digest. Texts without words all stay."""
     return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a window of a benchmark item."""
+    """Without the documents that hold a window of a benchmark item. NULL and
+    empty texts stay; so do all documents if the benchmark is empty."""
     return suffix_match.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of what is left."""
+    """Token counts and digests of ids and decoded text of what is left; NULL
+    text counts as empty. All stages read no other columns than they name, keep
+    them whatever they are called, and give an empty table for an empty one."""
     return bpe.digest(docs)
 
 
