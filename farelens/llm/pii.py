@@ -31,7 +31,7 @@ from .common import stored, table
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: A run of digits that single blanks or hyphens may part, of 12 digits or more.
-CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=(?:[0-9][\x20-]?){11}[0-9])[0-9]++(?:[\x20-][0-9]++)*+"
+CARD = r"(?=(?:[0-9][\x20-]?){11}[0-9])(?<![0-9])(?<![0-9][\x20-])[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Wider patterns of the method, all in one pass.
 WIDER = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++"
@@ -97,7 +97,6 @@ def sums_before(sizes: Column, levels: int = 2) -> Column:
 def located(text: Column, pattern: str) -> Column:
     """All matches of a pattern as structs of value, first, after, the text
     before (since the last match) and after it."""
-    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
     none = F.array().cast("array<struct<value:string,first:int,after:int,before:string,behind:string>>")
 
     def placed(x: Column) -> Column:
@@ -110,9 +109,11 @@ def located(text: Column, pattern: str) -> Column:
             return F.struct(value.alias("value"), first.alias("first"), (first + F.length(value)).alias("after"),
                             F.right(before, F.lit(BEFORE)).alias("before"), F.left(F.get(x["gaps"], i + 1), F.lit(1)).alias("behind"))
 
-        return F.when(F.size(x["found"]) > 0, let(F.transform(steps, size), lambda sizes: F.zip_with(steps, sums_before(sizes), match))).otherwise(none)
+        return let(F.transform(steps, size), lambda sizes: F.zip_with(steps, sums_before(sizes), match))
 
-    return let(both, placed)
+    # the text is split only where there is a match
+    both = lambda found: F.struct(found.alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, let(both(found), placed)).otherwise(none))
 
 
 def vote(yes: Column, no: Column) -> Column:
