@@ -31,6 +31,7 @@ from farelens.model import (
 )
 from farelens.operators import analytics, enrich, inspect, kpis, rules
 from farelens.plans import ids, pipeline, sinks, writeback
+from farelens.session import METHOD_LIMIT, set_defaults
 from farelens.sources.csv import map_columns
 from farelens.sources.mapping import TEXT_TIME_FORMAT, raw_from_tpch, text_from_tpch
 from farelens.sources.staging import conform, raw_column_name, stage
@@ -65,7 +66,12 @@ def tpch_frames(spark: SparkSession, sf_dir: str) -> Frames:
 
 
 def shared_frames(spark: SparkSession, sf_dir: str) -> Frames:
-    """``tpch_frames`` anew at every call: the file listing is never kept."""
+    """``tpch_frames`` anew at every call: the file listing is never kept.
+
+    The rules compile to methods that HotSpot would leave interpreted, so a
+    session that wasn't built by ``build_session`` gets that limit here too.
+    """
+    set_defaults(spark, METHOD_LIMIT)
     return tpch_frames(spark, sf_dir)
 
 

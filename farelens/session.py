@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,7 +22,7 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     # The rule set compiles to large generated methods; above HotSpot's 8000-byte
     # JIT limit they would run interpreted, so fall back to split codegen instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT: "8000",
     # Staging is partitioned by a boolean: two open writers per task replace
     # the per-task sort that a partitioned write otherwise needs.
     "spark.sql.maxConcurrentOutputFileWriters": "2",
@@ -30,6 +31,15 @@ DEFAULTS = {
 CONTEXT_DEFAULTS = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
+def set_defaults(spark: SparkSession, *names: str) -> None:
+    """Some of ``DEFAULTS`` (all without names) in a running session, each only
+    where nothing else was set."""
+    already = set(spark.conf.getAll)
+    for k in names or DEFAULTS:
+        if k not in already:
+            spark.conf.set(k, DEFAULTS[k])
+
+
 def build_session(master: str | None = None, app: str = "farelens",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """A session with the defaults filled in where nothing else was set.
@@ -49,9 +59,6 @@ def build_session(master: str | None = None, app: str = "farelens",
     for k, v in wishes.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    already = set(spark.conf.getAll)
-    for k, v in DEFAULTS.items():
-        if k not in already:
-            spark.conf.set(k, v)
+    set_defaults(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
