@@ -125,7 +125,7 @@ def labels_written_back(fr: Frames) -> DataFrame:
     fr.staged.select(F.monotonically_increasing_id().alias("id"), "*").write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
     empty = {"is_valid": F.lit(None).cast("boolean"), "validation_errors": F.lit(None).cast("string")}
-    writeback.store(rows.select("id", *LINEAGE).withColumns(empty), name, f"{folder}/table", folders=4, buckets=4)
+    writeback.store(rows.select("id", *LINEAGE).withColumns(empty), name, f"{folder}/table", folders=4, buckets=writeback.buckets_for(rows.count()))
     labels = rules.label(rows).select("id", "is_valid", "validation_errors")
     for half in (0, 1):
         writeback.write_back(spark, name, labels.where(F.pmod("id", F.lit(2)) == half))

@@ -9,15 +9,25 @@ once its new files are complete; the others stay as they are.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelens.operators import rules
 
 FOLDER = "_folder"
+#: Rows of a bucket, over all folders: what one task sorts at once.
+BUCKET_ROWS = 500_000
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
+def buckets_for(rows: int, least: int = 4) -> int:
+    """Buckets for a table of so many rows, so that a task's share of it doesn't
+    grow with the table."""
+    return max(least, math.ceil(rows / BUCKET_ROWS))
+
+
 def store(staging: DataFrame, table: str, path: str, folders: int = 64, buckets: int = 16, key: str = "id") -> None:
     """``staging`` as a table at ``path``; choose folders x buckets so that a
     bucket of a folder is a file of a few hundred MB."""

@@ -6,7 +6,9 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from farelens.plans import writeback
+from farelens.plans import catalog, writeback
+from farelens.sources.staging import conform
+from tests.helpers import text_rows
 
 LABELS = "id long, is_valid boolean, validation_errors string"
 
@@ -67,3 +69,16 @@ def test_staging_is_not_shuffled(spark, stored):
         assert "Bucketed: true" in plan
     plan = writeback.updated(spark, name, labels, [3])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and f"{writeback.FOLDER}" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    rows = text_rows(spark, [{"airline": f"Air {i}", "source": None if i % 5 == 0 else "QAA"} for i in range(60)])
+    staged = conform(rows).select(F.monotonically_increasing_id().alias("l_orderkey"), F.lit(1).alias("l_linenumber"), "*")
+    used = []
+    store = writeback.store
+    monkeypatch.setattr(writeback, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(writeback, "store", lambda *a, **k: (used.append(k["buckets"]), store(*a, **k)))
+    out = catalog.labels_written_back(catalog.Frames(staged, *[None] * 6)).collect()
+    assert used == [6]
+    assert len(out) == 60 and sum(not r["is_valid"] for r in out) == 12
+    assert writeback.buckets_for(0) == writeback.buckets_for(1) == 4
