@@ -36,8 +36,11 @@ PLAIN_SPLIT = (rf" ?[{PLAIN_LETTERS}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\t-\r 0
                r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 #: No further bytes in the prefix table.
 NO_STEPS: dict = {}
-#: Words kept with their tokens in one worker; beyond it the memory is started anew.
-CACHED_WORDS = 300_000
+#: Words kept with their tokens in one worker, twice at most: beyond it a new
+#: generation starts and the one before the last goes.
+CACHED_WORDS = 100_000
+#: Arcs known to be there or not; beyond it the memory is started anew.
+CACHED_ARCS = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -166,7 +169,7 @@ def encode_word(t: dict, word: bytes) -> list[int]:
                 key = state << 20 | token
                 ok = seen.get(key)
                 if ok is None:
-                    if len(seen) > 1_000_000:
+                    if len(seen) >= CACHED_ARCS:
                         seen.clear()
                     ok = seen[key] = arc(t, state, token)
                 if ok:
@@ -247,7 +250,8 @@ def default_path() -> str:
 def _codec(shared) -> Codec:
     tables = shared.value  # kept by the worker from task to task, and the words with it
     if "codec" not in tables:
-        tables["codec"] = Codec(tables)
+        # Over a copy: a codec that held the tables that hold it would outlive its broadcast.
+        tables["codec"] = Codec(dict(tables))
     return tables["codec"]
 
 

@@ -1,5 +1,8 @@
+import gc
 import hashlib
 import random
+import weakref
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -47,3 +50,26 @@ def test_rows(spark):
     whole = as_dicts(bpe.encode(documents(spark, rows[:2])))
     assert whole[1]["ids"] == library.encode(rows[0][1], add_special_tokens=False).ids and whole[1]["decoded"] == rows[0][1]
     assert whole[2]["ids"] == [] and bpe.digest(documents(spark, [])).count() == 0
+
+
+def test_tables_go_with_their_broadcast():
+    shared = SimpleNamespace(value=bpe.load_automaton(bpe.default_path()))
+    codec = bpe._codec(shared)
+    assert bpe._codec(shared) is codec and codec.encode("the thing")
+    kept = weakref.ref(codec)
+    gc.disable()
+    try:
+        del codec, shared
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
+def test_words_and_arcs_kept_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 50)
+    monkeypatch.setattr(bpe, "CACHED_ARCS", 20)
+    codec, library = bpe.Codec(bpe.load_automaton(bpe.default_path())), theirs()
+    for i in range(400):
+        text = f"word{i} {i * 37}abc thing's"
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(codec.words) <= 50 and len(codec.words.last) <= 50 and len(codec.t["arcs"]) <= 20
