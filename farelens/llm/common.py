@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 #: Bytes to one space or, where they belong to a word, to the lower-case letter.
 LOWER_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
+#: Rows of a batch that are turned into Python values at once.
+SLICE_ROWS = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,6 +56,14 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterable[pa.RecordBatch]:
+    """The rows of some batches, a few at a time: what a worker makes of long
+    texts is then as large as a slice, not as a batch."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def per_text(docs: DataFrame, text_col: str, carry: list[str], schema: str, make: Callable[[], Callable]) -> DataFrame:
     """``row`` (a struct of the carried columns) and the columns of ``schema``.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, texts, with_row
+from .common import slices, stored, table, texts, with_row
 from .fm_index import repeated_windows
 from .hashing import BETWEEN_SPACES, WordHasher, run_hashes, sliding_min
 
@@ -112,7 +112,7 @@ def anchor_counts(body: DataFrame, window: int, gram: int) -> DataFrame:
     """(anchor, n) over all texts."""
     def run(batches):
         hasher = WordHasher(BETWEEN_SPACES, False)
-        rows = ((None, t) for b in batches for t in texts(b.column(0)))
+        rows = ((None, t) for b in slices(batches) for t in texts(b.column(0)))
         for block in blocks(rows):
             v, n = np.unique(Windows([t for _, t in block], hasher, window, gram).anchors(window - gram + 1), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(v.astype("int64")), pa.array(n)], ["anchor", "n"])
@@ -151,7 +151,7 @@ def segment_rows(body: DataFrame, hot: list[int], bits: int, packed: bytes, wind
     def run(batches):
         hasher, (hot_, packed_) = WordHasher(BETWEEN_SPACES, False), shared.value
         map_ = np.frombuffer(packed_, "uint8")
-        rows = (((k1, k2), t) for b in batches for k1, k2, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)), strict=True))
+        rows = (((k1, k2), t) for b in slices(batches) for k1, k2, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)), strict=True))
         for block in blocks(rows):
             w = Windows([t for _, t in block], hasher, window, gram, hot_)
             first, after = w.segments()
@@ -304,7 +304,7 @@ def without_repeats(docs: DataFrame, carry: list[str], text_col: str = "text", *
     joined = keyed.join(spans, ["k1", "k2"], "left").select("row", "body", "spans")
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = [cut(t, s) for t, s in zip(texts(b.column(1)), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
                                               pa.array([x[2] for x in out], pa.binary()).cast(pa.string())], ["row", "n_words", "n_removed", "kept"])

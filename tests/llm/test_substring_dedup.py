@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from farelens.llm import substring_dedup
+from farelens.llm import common, substring_dedup
 from farelens.llm.fm_index import FMIndex, Wavelet, repeated_windows
 
 from .helpers import as_dicts, documents, sha
@@ -93,3 +94,18 @@ def test_search_of_windows():
     count = Counter(windows)
     want = [i for s, e in zip(starts, ends, strict=True) for i in range(s, e - 4) if count[tuple(seq[i : i + 5])] > 1]
     assert np.flatnonzero(repeated_windows(seq, starts, ends, 5, 8)).tolist() == want
+
+
+def test_texts_are_taken_a_slice_at_a_time():
+    batches = [pa.RecordBatch.from_arrays([pa.array([f"t{i}" for i in range(n)])], ["body"]) for n in (0, 1, 600)]
+    got = list(common.slices(batches, 256))
+    assert [b.num_rows for b in got] == [1, 256, 256, 88]
+    assert [t for b in got for t in common.texts(b.column(0))] == [b"t0", *(b"t%d" % i for i in range(600))]
+
+
+def test_more_rows_than_a_slice(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"own{i} {passage} end{i}" if i % 3 == 0 else f"own{i} alone") for i in range(3 * common.SLICE_ROWS)]
+    got = as_dicts(substring_dedup.repeats_removed(documents(spark, rows, partitions=1)))
+    assert len(got) == len(rows)
+    assert all((got[i]["n_words"], got[i]["n_removed"]) == ((62, 60) if i % 3 == 0 else (2, 0)) for i in got)
