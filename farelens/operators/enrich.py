@@ -6,10 +6,10 @@ is computed from its parts only where it is missing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.functions.exprs import require_columns, strip, upper_code
+from farelens.functions.exprs import clean_column, require_columns, strip, upper_code
 from farelens.model import (
     BASELINE_SEASON,
     CODE_COLUMNS,
@@ -21,14 +21,19 @@ from farelens.model import (
 from farelens.sources.staging import conform
 
 
+def _cleaned(df: DataFrame, c: str, how) -> Column:
+    """The column as ``rules.label`` cleaned it (``keep_clean``), else cleaned here."""
+    return F.col(clean_column(c)) if clean_column(c) in df.columns else how(c)
+
+
 def clean_text(df: DataFrame) -> DataFrame:
     """Strip the free-text columns that are present."""
-    return df.withColumns({c: strip(c) for c in TEXT_COLUMNS if c in df.columns})
+    return df.withColumns({c: _cleaned(df, c, strip) for c in TEXT_COLUMNS if c in df.columns})
 
 
 def clean_codes(df: DataFrame) -> DataFrame:
     """Strip and upper-case the two location codes."""
-    return df.withColumns({c: upper_code(c) for c in CODE_COLUMNS})
+    return df.withColumns({c: _cleaned(df, c, upper_code) for c in CODE_COLUMNS})
 
 
 def clean(df: DataFrame) -> DataFrame:

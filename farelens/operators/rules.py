@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelens.functions.exprs import require_schema_columns, strip, to_double, upper_code
+from farelens.functions.exprs import clean_column, require_schema_columns, strip, to_double, upper_code, with_columns_once
 from farelens.model import (
     AIRPORT_CODE_PATTERN,
     CODE_COLUMNS,
@@ -53,10 +53,6 @@ class Rule:
     predicate: Column
 
 
-def code_column(c: str) -> str:
-    return f"_code_{c}"
-
-
 def fare_components() -> Column:
     return F.col("base_fare_bdt") + F.col("tax_surcharge_bdt")
 
@@ -101,7 +97,8 @@ def rules(df: DataFrame) -> list[Rule]:
     for c in NOT_NULL_COLUMNS:
         # A value that arrived as unparseable text is present, not missing.
         raw = raw_column_name(c)
-        missing = F.col(c).isNull() & F.col(raw).isNull() if raw in cols else F.col(c).isNull()
+        value = F.col(clean_column(c)) if clean_column(c) in cols else F.col(c)
+        missing = value.isNull() & F.col(raw).isNull() if raw in cols else value.isNull()
         out.append(Rule(f"null_{c}", "null", missing))
     for c in NUMERIC_COLUMNS:
         raw = raw_column_name(c)
@@ -110,9 +107,11 @@ def rules(df: DataFrame) -> list[Rule]:
     for c in FARE_COLUMNS:
         out.append(Rule(f"negative_{c}", "negative", F.col(c) < 0))
     for c in NON_EMPTY_STRING_COLUMNS:
-        out.append(Rule(f"blank_{c}", "blank", F.col(c).isNull() | (strip(c) == "")))
-    # ``label`` has each code and fare test in a column of its own, evaluated once.
-    codes = {c: F.col(code_column(c)) if code_column(c) in cols else upper_code(c) for c in CODE_COLUMNS}
+        stripped = F.col(clean_column(c)) if clean_column(c) in cols else strip(c)
+        out.append(Rule(f"blank_{c}", "blank", stripped.isNull() | (stripped == "")))
+    # ``label`` has each fare test, code and stripped airline in a column of its own,
+    # the texts worked out once a row; these are NULL or blank where their column is.
+    codes = {c: F.col(clean_column(c)) if clean_column(c) in cols else upper_code(c) for c in CODE_COLUMNS}
     for c, code in codes.items():
         out.append(Rule(f"malformed_{c}_code", "malformed_code",
                         code.isNotNull() & ~code.rlike(AIRPORT_CODE_PATTERN)))
@@ -184,16 +183,16 @@ def has_bit(i: int) -> Column:
     return (F.col(RULE_BITS).bitwiseAND(_bit(i))) != 0
 
 
-def label(df: DataFrame, keep_bits: bool = False) -> DataFrame:
+def label(df: DataFrame, keep_bits: bool = False, keep_clean: bool = False) -> DataFrame:
     """Adds ``is_valid``, ``validation_errors``, ``reconciles_exactly`` and
     ``has_known_uplift`` to every row. Lazy: checks only the schema.
 
-    ``keep_bits`` keeps the ``_rule_bits`` column for ``report_columns``.
+    ``keep_bits`` keeps the ``_rule_bits`` column for ``report_columns``,
+    ``keep_clean`` the stripped airline and codes for ``enrich.clean``.
     """
     validate_required_columns(df)
-    df = _typed(df)
+    df = with_columns_once(_typed(df), {clean_column(c): upper_code(c) if c in CODE_COLUMNS else strip(c) for c in NON_EMPTY_STRING_COLUMNS})
     df = df.withColumns({
-        **{code_column(c): upper_code(c) for c in CODE_COLUMNS},
         "reconciles_exactly": reconciles_exactly(df),
         "has_known_uplift": has_known_uplift(df),
     })
@@ -208,7 +207,7 @@ def label(df: DataFrame, keep_bits: bool = False) -> DataFrame:
             "validation_errors": errors,
             "is_valid": F.col(RULE_BITS) == 0 if keep_bits else passes_all(rs),
         })
-        .drop(*[code_column(c) for c in CODE_COLUMNS])
+        .drop(*[clean_column(c) for c in NON_EMPTY_STRING_COLUMNS if not keep_clean])
     )
     first = [c for c in out.columns if c not in LABEL_COLUMNS]
     return out.select(*first, *LABEL_COLUMNS) if keep_bits else out.select(*[c for c in first if c != RULE_BITS], *LABEL_COLUMNS)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelens.functions.exprs import with_columns_once
 from farelens.model import CSV_COLUMN_MAP
 from farelens.sources.csv import plain_file_name
 
@@ -86,14 +87,46 @@ def _dec(c: Column, p: int, s: int) -> Column:
     return c.cast(T.DecimalType(p, s))
 
 
-def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw fare rows (typed, staging names) derived from the driver tables."""
+def _fares(lines: DataFrame, once: bool) -> DataFrame:
+    """The three fares of each lineitem row, all from its own columns.
+
+    ``once``: for frames whose rows are filtered on the fares. Every rule on
+    them would otherwise convert price, discount and tax to decimals anew.
+    """
+    add = with_columns_once if once else DataFrame.withColumns
+    price = _dec(F.col("l_extendedprice"), 10, 2)
+    lines = add(lines, {
+        "_base": _dec(price * _dec(F.lit(1) - F.col("l_discount"), 4, 2), 14, 4),
+        "_tax": F.greatest(_dec(F.lit(TAX_FLOOR), 14, 4), _dec(price * _dec(F.col("l_tax"), 4, 2), 14, 4)),
+    })
+    d, base0, tax0 = F.col("l_orderkey") % DEFECT_MODULUS, F.col("_base"), F.col("_tax")
+    return add(lines, {
+        "l_discounted_fare": _dec(F.when(d == D_NULL_BASE, F.lit(None)).when(d == D_NEGATIVE_BASE, -base0).otherwise(base0), 14, 4),
+        "l_tax_fare": _dec(F.when(d == D_NULL_TAX, F.lit(None)).when(d == D_NEGATIVE_TAX, -tax0).otherwise(tax0), 14, 4),
+        "l_total_fare": _dec(
+            F.when(d == D_NULL_TOTAL, F.lit(None))
+            .when(d == D_MISMATCH, base0 + tax0 + MISMATCH_OFFSET)
+            .when(d == D_NEGATIVE_TOTAL, -(base0 + tax0))
+            .when(F.col("l_orderkey") % UPLIFT_MODULUS == 0, (base0 + tax0) * F.lit(1.2).cast("decimal(2,1)"))
+            .otherwise(base0 + tax0),
+            14, 4,
+        ),
+    }).drop("_base", "_tax", "l_extendedprice", "l_discount", "l_tax")
+
+
+def raw_from_tpch(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    """Raw fare rows (typed, staging names) derived from the driver tables.
+
+    ``once`` works out the fares, airline and codes once a row, also where nothing
+    reads them: for frames whose rows are filtered on them.
+    """
     t = read_tables(spark, sf_dir)
     li = t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
         plain_file_name().alias("_source_file"),
     )
+    li = _fares(li, once)
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cust = t["customer"].select("c_custkey", "c_nationkey")
     supp = t["supplier"].select("s_suppkey", "s_nationkey")
@@ -113,9 +146,6 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         & (F.col("l_orderkey") % SAME_NATION_BYPASS_MODULUS != 0),
         (F.col("c_nationkey") + 1) % N_NATIONS,
     ).otherwise(F.col("c_nationkey"))
-    price = _dec(F.col("l_extendedprice"), 10, 2)
-    base0 = _dec(price * _dec(F.lit(1) - F.col("l_discount"), 4, 2), 14, 4)
-    tax0 = F.greatest(_dec(F.lit(TAX_FLOOR), 14, 4), _dec(price * _dec(F.col("l_tax"), 4, 2), 14, 4))
     days0 = F.abs(F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))) % 90
     shift = F.col("p_size") * 15
     month = F.month("l_shipdate")
@@ -123,22 +153,28 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper_code = F.concat(F.lit("N"), _nation_code(a, 65))
     untidy_code = F.concat(F.lit(" n"), _nation_code(a, 97), F.lit(" "))
 
-    return j.select(
-        "l_orderkey",
-        "l_linenumber",
-        F.when(d == D_NULL_AIRLINE, F.lit(None).cast("string"))
+    add = with_columns_once if once else DataFrame.withColumns
+    j = add(j, {
+        "airline": F.when(d == D_NULL_AIRLINE, F.lit(None).cast("string"))
         .when(d == D_BLANK_AIRLINE, F.lit("   "))
         .when(d == D_UNTIDY_TEXT, F.concat(F.lit("\t"), F.col("p_brand"), F.lit("\u00a0 ")))
-        .otherwise(F.col("p_brand")).alias("airline"),
-        F.when(d == D_MALFORMED_SOURCE, F.lit("DHAKA"))
+        .otherwise(F.col("p_brand")),
+        "source": F.when(d == D_MALFORMED_SOURCE, F.lit("DHAKA"))
         .when(d == D_UNTIDY_SOURCE, untidy_code)
         .when(d == D_NULL_SOURCE, F.lit(None).cast("string"))
         .when(d == D_BLANK_SOURCE, F.lit("\t "))
-        .otherwise(upper_code).alias("source"),
-        F.concat(F.lit("NATION_"), a.cast("string"), F.when(d == D_UNTIDY_TEXT, F.lit("  ")).otherwise(F.lit(""))).alias("source_name"),
-        F.when(d == D_NULL_DESTINATION, F.lit(None).cast("string"))
+        .otherwise(upper_code),
+        "destination": F.when(d == D_NULL_DESTINATION, F.lit(None).cast("string"))
         .when(d == D_MALFORMED_DESTINATION, F.lit("C9P"))
-        .otherwise(F.concat(F.lit("N"), _nation_code(b, 65))).alias("destination"),
+        .otherwise(F.concat(F.lit("N"), _nation_code(b, 65))),
+    })
+    return j.select(
+        "l_orderkey",
+        "l_linenumber",
+        "airline",
+        "source",
+        F.concat(F.lit("NATION_"), a.cast("string"), F.when(d == D_UNTIDY_TEXT, F.lit("  ")).otherwise(F.lit(""))).alias("source_name"),
+        "destination",
         F.concat(F.lit("NATION_"), b.cast("string")).alias("destination_name"),
         F.col("l_shipdate").alias("departure_datetime"),
         F.when(d == D_ARRIVAL_FIRST, F.timestamp_add("MINUTE", -shift, F.col("l_shipdate")))
@@ -151,16 +187,9 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", F.lit("Business"))
         .otherwise(F.lit("First Class")).alias("flight_class"),
         F.col("o_orderpriority").alias("booking_source"),
-        _dec(F.when(d == D_NULL_BASE, F.lit(None)).when(d == D_NEGATIVE_BASE, -base0).otherwise(base0), 14, 4).alias("base_fare_bdt"),
-        _dec(F.when(d == D_NULL_TAX, F.lit(None)).when(d == D_NEGATIVE_TAX, -tax0).otherwise(tax0), 14, 4).alias("tax_surcharge_bdt"),
-        _dec(
-            F.when(d == D_NULL_TOTAL, F.lit(None))
-            .when(d == D_MISMATCH, base0 + tax0 + MISMATCH_OFFSET)
-            .when(d == D_NEGATIVE_TOTAL, -(base0 + tax0))
-            .when(F.col("l_orderkey") % UPLIFT_MODULUS == 0, (base0 + tax0) * F.lit(1.2).cast("decimal(2,1)"))
-            .otherwise(base0 + tax0),
-            14, 4,
-        ).alias("total_fare_bdt"),
+        F.col("l_discounted_fare").alias("base_fare_bdt"),
+        F.col("l_tax_fare").alias("tax_surcharge_bdt"),
+        F.col("l_total_fare").alias("total_fare_bdt"),
         F.when(d == D_UNKNOWN_SEASON, F.lit("Puja"))
         .when(d == D_NULL_SEASON, F.lit(None).cast("string"))
         .when(d == D_UNTIDY_SEASON, F.lit(" Eid\t"))

@@ -14,6 +14,7 @@ from farelens.functions.exprs import (
     round_half_even,
     round_half_up,
     strip,
+    with_columns_once,
 )
 
 _ALPHABET = st.sampled_from(list(WHITESPACE) + list("aZ9-é中 ") + ["​", "﻿"])
@@ -53,3 +54,20 @@ def test_text_numbers(spark):
     assert [r["d"] for r in rows] == [Decimal("12.0000"), Decimal("12.0000"), Decimal("1000.0000"), None, None,
                                       None, None, None, None, None, Decimal("-0.5000")]
     assert [r["x"] for r in rows] == [12.0, 12.0, 1000.0, None, None, None, float("inf"), None, None, None, -0.5]
+
+
+def test_strip_is_pythons_at_either_end(spark):
+    cases = ["", " ", "ab", "!a~", "a\x7f", "\x7fa", "\x1fa", "a\x1c", "a b", " ab", "ab\t", " ab", "ab　", "é", "aé ", "東京", "a​", None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string")
+    got = {r["i"]: r["s"] for r in df.select("i", strip("c").alias("s")).collect()}
+    assert got == {i: None if c is None else c.strip() for i, c in enumerate(cases)}
+
+
+def test_columns_added_once_keep_rows_and_nulls(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "i int, c string")
+    out = with_columns_once(df, {"u": F.upper("c"), "n": F.col("i") * 2})
+    assert sorted(map(tuple, out.collect())) == [(1, "a", "A", 2), (2, None, None, 4)]
+    assert out.columns == ["i", "c", "u", "n"]
+    kept = out.where((F.col("u") == "A") & (F.length("u") < 2)).select("i")
+    assert "upper" not in "".join(x for x in kept._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x)
+    assert [r["i"] for r in kept.collect()] == [1]

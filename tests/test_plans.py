@@ -125,3 +125,15 @@ def test_global_totals_are_scalar_subqueries_not_joins(spark, stored):
     for df in (kpis.booking_count_by_airline(fact), kpis.seasonal_fare_variation(fact)):
         text = plan(df)
         assert "Join" not in text and "Subquery" in text
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["kpi_popular_routes", "fact_table", "clean_codes", "flagged_rows"])
+def test_filters_and_joins_work_out_no_fare_or_code_anew(spark, name):
+    """Their conditions read fares, airline and codes that were worked out once a row."""
+    text = QUERIES[name](shared_frames(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in text.split("\n") if "Filter " in line or "Join " in line]
+    assert any("l_total_fare" in line or "total_fare" in line for line in lines)
+    for line in lines:
+        assert "l_extendedprice" not in line and "chr(" not in line and "upper(" not in line and "p_brand" not in line
+    assert text.count("cast(l_extendedprice") == 2  # the base fare and the tax
