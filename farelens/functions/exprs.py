@@ -6,7 +6,6 @@ inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
-import string
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -20,11 +19,11 @@ from farelens.model import FARE_TYPE, SchemaValidationError
 # Spark's ``trim`` removes only the blank, so the set is derived from the same
 # rule and handed to ``btrim``. All such characters lie below U+3001.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-PRINTABLE = string.ascii_letters + string.digits + string.punctuation  # ASCII, no whitespace
 
 # A trailing type suffix ("1.0d", "2f") is accepted by Spark's string -> double
-# cast but is not a number to a CSV reader; rejected before casting.
-_DOUBLE_SUFFIX = r"(?i)[df]\s*\z"
+# cast but is not a number to a CSV reader, and NaN is missing to it; both are
+# rejected before casting. The cast trims everything up to the blank.
+_NO_DOUBLE = r"(?i)([df]\s*|nan[\x00-\x20]*)\z"
 
 
 def as_column(c: str | Column) -> Column:
@@ -35,10 +34,11 @@ def strip(c: str | Column) -> Column:
     """Remove leading and trailing whitespace, as Python's ``str.strip``.
 
     Text that begins and ends with a printable ASCII character is left alone:
-    looking up the two in the long set is most of ``btrim``'s time.
+    looking up the two in the long set is most of ``btrim``'s time. Text compares
+    by its bytes, so a character past ASCII is above "~".
     """
     col = as_column(c)
-    plain = (col >= "!") & (col < "\x7f") & F.contains(F.lit(PRINTABLE), F.right(col, F.lit(1)))
+    plain = (col >= "!") & (col < "\x7f") & F.right(col, F.lit(1)).between("!", "~")
     return F.when(plain, col).otherwise(F.btrim(col, F.lit(WHITESPACE)))
 
 
@@ -71,15 +71,16 @@ def parse_double(c: str | Column) -> Column:
 
     A d/f suffix is rejected and NaN becomes NULL (Spark orders NaN above every
     number, which would poison comparisons, means and maxima). Infinity stays.
+    Text that ends with a digit, as nearly all does, is cast and nothing else.
     """
     col = as_column(c)
     word = F.lower(strip(col))
-    parsed = (
+    number = F.right(col, F.lit(1)).between("0", "9") | ~col.rlike(_NO_DOUBLE)
+    return F.coalesce(
+        F.when(number, col.try_cast(T.DoubleType())),
         F.when(word.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
-        .when(word.isin("-inf", "-infinity"), F.lit(float("-inf")))
-        .when(~col.rlike(_DOUBLE_SUFFIX), col.try_cast(T.DoubleType()))
+        .when(word.isin("-inf", "-infinity"), F.lit(float("-inf"))),
     )
-    return F.when(~F.isnan(parsed), parsed)
 
 
 def parse_int(c: str | Column) -> Column:

@@ -188,10 +188,14 @@ def label(df: DataFrame, keep_bits: bool = False, keep_clean: bool = False) -> D
     ``has_known_uplift`` to every row. Lazy: checks only the schema.
 
     ``keep_bits`` keeps the ``_rule_bits`` column for ``report_columns``,
-    ``keep_clean`` the stripped airline and codes for ``enrich.clean``.
+    ``keep_clean`` the stripped airline and codes for ``enrich.clean``; these are
+    a generator's output and ``is_valid`` a conjunction, for rows that are filtered
+    on the labels. Without it they are projected, as a generator is interpreted in
+    stages with too much code to compile whole, and the rules are evaluated once.
     """
     validate_required_columns(df)
-    df = with_columns_once(_typed(df), {clean_column(c): upper_code(c) if c in CODE_COLUMNS else strip(c) for c in NON_EMPTY_STRING_COLUMNS})
+    add = with_columns_once if keep_clean else DataFrame.withColumns
+    df = add(_typed(df), {clean_column(c): upper_code(c) if c in CODE_COLUMNS else strip(c) for c in NON_EMPTY_STRING_COLUMNS})
     df = df.withColumns({
         "reconciles_exactly": reconciles_exactly(df),
         "has_known_uplift": has_known_uplift(df),
@@ -199,13 +203,12 @@ def label(df: DataFrame, keep_bits: bool = False, keep_clean: bool = False) -> D
     rs = rules(df)
     if len(rs) > 62:
         raise ValueError("too many rules for one bit mask")
-    errors = F.nullif(F.concat_ws(";", *[F.when(has_bit(i), F.lit(r.label)) for i, r in enumerate(rs)]),
-                      F.lit(""))
+    errors = F.when(F.col(RULE_BITS) != 0, F.concat_ws(";", *[F.when(has_bit(i), F.lit(r.label)) for i, r in enumerate(rs)]))
     out = (
         df.withColumn(RULE_BITS, rule_bits(rs))
         .withColumns({
             "validation_errors": errors,
-            "is_valid": F.col(RULE_BITS) == 0 if keep_bits else passes_all(rs),
+            "is_valid": passes_all(rs) if keep_clean and not keep_bits else F.col(RULE_BITS) == 0,
         })
         .drop(*[clean_column(c) for c in NON_EMPTY_STRING_COLUMNS if not keep_clean])
     )

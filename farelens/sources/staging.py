@@ -58,17 +58,19 @@ def conform(df: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     pass through unchanged; absent optional columns stay absent. Timestamps are
     read as ISO text and, where given, by ``timestamp_format``.
     """
-    out = []
+    out, kept = [], []
     for name in df.columns:
         target = STAGED_TYPES.get(name)
         if target is None:
             out.append(F.col(name))
-            continue
-        typed = _typed(df, name, target, timestamp_format)
-        if name in NUMERIC_COLUMNS and isinstance(df.schema[name].dataType, T.StringType):
-            out.append(F.when(typed.isNull(), F.col(name)).alias(raw_column_name(name)))
-        out.append(typed.alias(name))
-    return df.select(*out)
+        elif name in NUMERIC_COLUMNS and isinstance(df.schema[name].dataType, T.StringType):
+            # The raw column reads the parsed one, so each text is parsed once.
+            out += [F.col(name).alias(raw_column_name(name)), _typed(df, name, target).alias(name)]
+            kept.append(name)
+        else:
+            out.append(_typed(df, name, target, timestamp_format).alias(name))
+    typed = df.select(*out)
+    return typed.withColumns({raw_column_name(c): F.when(F.col(c).isNull(), F.col(raw_column_name(c))) for c in kept})
 
 
 def stage(df: DataFrame, source_file: str | None = None,

@@ -71,3 +71,12 @@ def test_columns_added_once_keep_rows_and_nulls(spark):
     kept = out.where((F.col("u") == "A") & (F.length("u") < 2)).select("i")
     assert "upper" not in "".join(x for x in kept._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x)
     assert [r["i"] for r in kept.collect()] == [1]
+
+
+def test_doubles_at_odd_ends(spark):
+    inf = float("inf")
+    cases = {"2.5": 2.5, " 1e3\t": 1000.0, "2.": 2.0, ".5": 0.5, "7 ": 7.0, "1.0d": None, "2F ": None, "1x2": None, "": None,
+             "nan": None, "NaN\x1c": None, "-NaN": None, "+NaN ": None, "inf": inf, " +Inf　": inf, " -infinity": -inf, "Infinity": inf, "-inf ": -inf, "1٢": None}
+    df = spark.createDataFrame([*enumerate(cases), (len(cases), None)], "i int, s string")
+    got = {r["i"]: r["x"] for r in df.select("i", parse_double("s").alias("x")).collect()}
+    assert got == dict(enumerate([*cases.values(), None]))

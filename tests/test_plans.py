@@ -1,6 +1,7 @@
 """Plan shape: no Python in the hot path, pruning and pushdown reach the scan."""
 
 import os
+import re
 
 import pytest
 
@@ -137,3 +138,12 @@ def test_filters_and_joins_work_out_no_fare_or_code_anew(spark, name):
     for line in lines:
         assert "l_extendedprice" not in line and "chr(" not in line and "upper(" not in line and "p_brand" not in line
     assert text.count("cast(l_extendedprice") == 2  # the base fare and the tax
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["text_rule_labels", "text_staged"])
+def test_texts_are_parsed_once(spark, name):
+    text = QUERIES[name](shared_frames(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RLIKE(duration_hrs") == 1 and "Generate" not in text
+    for c in ("base_fare_bdt", "tax_surcharge_bdt", "total_fare_bdt"):
+        assert len(re.findall(rf"try_cast\({c}#\d+ as decimal", text)) == 1

@@ -149,3 +149,15 @@ def test_labels_of_another_table(spark):
 
 def test_labelling_is_one_narrow_stage(frame):
     assert "Exchange" not in plan_of(rules.label(frame))
+
+
+def test_labels_that_are_not_filtered_evaluate_each_rule_once(frame):
+    text = rules.label(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text
+    for c in ("source", "destination"):
+        assert text.count(f"RLIKE(_clean_{c}") == 1
+
+
+def test_labels_for_filters_are_the_same(frame):
+    columns = ["_source_file", *rules.LABEL_COLUMNS]
+    assert sorted(rules.label(frame, keep_clean=True).select(columns).collect()) == sorted(rules.label(frame).select(columns).collect())
